@@ -1,0 +1,20 @@
+"""Joins against small fitted tables, with the size checked first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it unhinted.
+
+    At most ``max_rows + 1`` rows reach the driver. A larger table goes through
+    the ordinary shuffled join, where adaptive execution splits skewed keys.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
