@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import anomaly_score
+from alertloom.operators.ordered import ordered_chunks
 from alertloom.operators.small import small_side
 from alertloom.params import LABEL_COL, NORMAL
 
@@ -23,10 +24,17 @@ def exact_percentile(
     ``percentile`` keeps every distinct value in one buffer. Here an approximate
     quantile brackets the wanted ranks, a count proves that the bracket holds
     them, and only rows inside it go on. Each round shuffles a few numbers and
-    leaves a small share of the rows; the last one sorts at most ``small``
-    distinct values.
+    leaves a small share of the rows, until at most ``small`` are left to sort.
+    The column is read several times, so that one column is kept.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
+    values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null").persist()
+    try:
+        return _percentile(values, p, accuracy, small)
+    finally:
+        values.unpersist()
+
+
+def _percentile(values: DataFrame, p: float, accuracy: int, small: int) -> float | None:
     first = values.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     if first.n == 0:
         return None
@@ -35,64 +43,50 @@ def exact_percentile(
     lo, hi, below, inside = first.lo, first.hi, 0, first.n
     slack = 2.0 / accuracy
     while lo < hi and inside > small:
+        shares = [
+            max(0.0, (ranks[0] - below) / inside - slack),
+            min(1.0, (ranks[-1] - below + 1) / inside + slack),
+        ]
         span = values.filter(F.col("x").between(lo, hi))
-        cuts = span.agg(
-            F.percentile_approx(
-                "x",
-                [
-                    max(0.0, (ranks[0] - below) / inside - slack),
-                    min(1.0, (ranks[-1] - below + 1) / inside + slack),
-                ],
-                accuracy,
-            ).alias("q")
-        ).first().q
+        left, right = span.agg(F.percentile_approx("x", shares, accuracy).alias("q")).first().q
         counts = values.agg(
-            F.count_if(F.col("x") < cuts[0]).alias("below"),
-            F.count_if(F.col("x").between(cuts[0], cuts[1])).alias("inside"),
+            F.count_if(F.col("x") < left).alias("below"), F.count_if(F.col("x").between(left, right)).alias("inside")
         ).first()
-        holds = counts.below <= ranks[0] and ranks[-1] < counts.below + counts.inside
-        if not holds:
-            slack *= 4
-            continue
-        if counts.inside == inside:  # heavy ties: the bracket cannot shrink further by rank
-            break
-        lo, hi, below, inside = cuts[0], cuts[1], counts.below, counts.inside
+        if counts.below > ranks[0] or ranks[-1] >= counts.below + counts.inside:
+            slack *= 4  # the bracket missed a rank
+        elif counts.inside == inside:
+            break  # nearly all rows share a few values; ranks cannot narrow it further
+        else:
+            lo, hi, below, inside = left, right, counts.below, counts.inside
     if lo == hi:
         return float(lo)
     grouped = values.filter(F.col("x").between(lo, hi)).groupBy("x").agg(F.count("*").alias("c"))
-    found = _values_at(grouped, [r - below for r in ranks])
-    low, high = found[0], found[-1]
-    return float(low + (high - low) * (position - math.floor(position)))
+    found = _values_at(grouped, [rank - below for rank in ranks], one_task=inside <= small)
+    return float(found[0] + (found[-1] - found[0]) * (position - math.floor(position)))
 
 
-def _values_at(grouped: DataFrame, ranks: list[int]) -> list[float]:
+def _values_at(grouped: DataFrame, ranks: list[int], one_task: bool) -> list[float]:
     """Values at the given zero-based ranks of (x, c) groups.
 
-    The groups are range partitioned; partition totals locate the partitions that
-    hold the ranks, and only within those is a running count taken.
+    A proven small number of groups is counted up in one task. Otherwise they are
+    range partitioned, the partition totals locate the ranks, and the running
+    count is taken within those partitions only.
     """
-    from alertloom.operators.ordered import ordered_chunks
-
-    rows = ordered_chunks(grouped, ["x"])
-    totals = sorted((r["_chunk"], r["c"]) for r in rows.groupBy("_chunk").agg(F.sum("c").alias("c")).collect())
+    if one_task:
+        rows, chunks = grouped.withColumn("_chunk", F.lit(0)), [(0, None)]
+    else:
+        rows = ordered_chunks(grouped, ["x"])
+        chunks = sorted((r["_chunk"], r["c"]) for r in rows.groupBy("_chunk").agg(F.sum("c").alias("c")).collect())
+    running = rows.withColumn("upto", F.sum("c").over(Window.partitionBy("_chunk").orderBy("x")))
     found = []
     for rank in ranks:
         start = 0
-        for chunk, size in totals:
-            if rank < start + size:
+        for chunk, size in chunks:
+            if size is None or rank < start + size:
                 break
             start += size
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("_chunk").orderBy("x")
-        found.append(
-            rows.filter(F.col("_chunk") == chunk)
-            .withColumn("upto", F.sum("c").over(w))
-            .filter(F.col("upto") > rank - start)
-            .agg(F.min("x").alias("x"))
-            .first()
-            .x
-        )
+        at = running.filter((F.col("_chunk") == chunk) & (F.col("upto") > rank - start))
+        found.append(at.agg(F.min("x").alias("x")).first().x)
     return found
 
 

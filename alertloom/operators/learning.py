@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import (
@@ -17,13 +17,14 @@ from alertloom.functions.expressions import (
     encode_state,
     epsilon_after,
     epsilon_greedy,
-    hash_draw,
     is_attack,
     reward,
     triage_state,
 )
 from alertloom.operators.ordered import rolling_fp_rate
-from alertloom.params import DEFAULTS, ESCALATE, N_ACTIONS, N_CONFIDENCE, N_FP, N_STATES, Costs
+from alertloom.params import DEFAULTS, ESCALATE, N_ACTIONS, N_FP, N_STATES, Costs
+
+PAIRS = N_FP * N_ACTIONS
 
 
 def transitions(
@@ -56,8 +57,6 @@ def mdp_estimate(trans: DataFrame) -> DataFrame:
     counts = trans.groupBy("state", "action", "next_state").agg(
         F.count("*").alias("n"), F.sum("reward").alias("reward_sum")
     )
-    from pyspark.sql import Window
-
     pair = Window.partitionBy("state", "action")  # at most 3 rows each
     return counts.select(
         "state",
@@ -70,70 +69,58 @@ def mdp_estimate(trans: DataFrame) -> DataFrame:
 
 
 def _chains(mdp: DataFrame) -> DataFrame:
-    """One row per (class, confidence): ``r[fp][action]`` (null if never seen) and ``p[fp][action][next fp]``."""
+    """One row per (class, confidence).
+
+    ``r`` holds the mean reward by fp * 3 + action, null where the pair was never
+    seen, and ``p`` the probability by (fp * 3 + action) * 3 + next fp.
+    """
     klass, conf, fp = decode_state("state")
     _, _, fp_next = decode_state("next_state")
+    pair = fp * N_ACTIONS + F.col("action")
     cells = mdp.select(
-        klass.alias("klass"), conf.alias("conf"), fp.alias("fp"), fp_next.alias("fp_next"), "action", "p", "mean_reward"
+        klass.alias("klass"), conf.alias("conf"), pair.alias("pair"), fp_next.alias("fp_next"), "p", "mean_reward"
     )
-
-    def at(b: int, a: int) -> Column:
-        return (F.col("fp") == b) & (F.col("action") == a)
-
-    r = F.array(
-        *[
-            F.array(*[F.max(F.when(at(b, a), F.col("mean_reward"))) for a in range(N_ACTIONS)])
-            for b in range(N_FP)
-        ]
+    # at most 27 entries per chain
+    maps = cells.groupBy("klass", "conf").agg(
+        F.map_from_entries(F.collect_set(F.struct("pair", "mean_reward"))).alias("rewards"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("pair") * N_FP + F.col("fp_next"), "p"))).alias("moves"),
     )
-    p = F.array(
-        *[
-            F.array(
-                *[
-                    F.array(
-                        *[
-                            F.coalesce(F.max(F.when(at(b, a) & (F.col("fp_next") == nb), F.col("p"))), F.lit(0.0))
-                            for nb in range(N_FP)
-                        ]
-                    )
-                    for a in range(N_ACTIONS)
-                ]
-            )
-            for b in range(N_FP)
-        ]
+    return maps.select(
+        "klass",
+        "conf",
+        F.expr(f"transform(sequence(0, {PAIRS - 1}), i -> try_element_at(rewards, i))").alias("r"),
+        F.expr(f"transform(sequence(0, {PAIRS * N_FP - 1}), i -> coalesce(try_element_at(moves, i), 0D))").alias("p"),
     )
-    return cells.groupBy("klass", "conf").agg(r.alias("r"), p.alias("p"))
 
 
-def _sweep(q: Column, gamma: float, step: float) -> Column:
-    """One synchronous update of all 9 values of a chain; unseen pairs keep their value."""
+def fold_values(sweeps: int | str, gamma: float, step: float | None = None) -> Column:
+    """Action values of a chain (columns ``r`` and ``p``) after a number of sweeps, from all zeros.
 
-    def updated(b: int, a: int) -> Column:
-        old = q[b][a]
-        future = sum((F.col("p")[b][a][nb] * F.array_max(q[nb]) for nb in range(1, N_FP)), F.col("p")[b][a][0] * F.array_max(q[0]))
-        target = F.col("r")[b][a] + gamma * future
-        return F.coalesce(old + step * (target - old) if step != 1.0 else target, old)
-
-    return F.array(*[F.array(*[updated(b, a) for a in range(N_ACTIONS)]) for b in range(N_FP)])
-
-
-def fold_values(mdp: DataFrame, sweeps: Column | int, gamma: float, step: float) -> DataFrame:
-    """Action values per chain after a number of sweeps, from all zeros.
-
-    The sweeps are a fold over a sequence inside one expression: no job, shuffle
-    or driver round trip per sweep.
+    All values are updated at once from those of the sweep before; pairs never
+    seen keep theirs. With ``step`` a value moves that part of the way to its
+    target. The sweeps are a fold over a sequence inside one expression: no job,
+    shuffle or driver round trip per sweep. ``sweeps`` may name a column.
     """
-    zeros = F.array(*[F.array(*[F.lit(0.0)] * N_ACTIONS)] * N_FP)
-    n = F.lit(sweeps) if isinstance(sweeps, int) else sweeps
-    q = F.aggregate(F.sequence(F.lit(1), n), zeros, lambda acc, _: _sweep(acc, gamma, step))
-    return q
+    future = " + ".join(
+        f"p[i * {N_FP} + {b}] * array_max(slice(q, {b * N_ACTIONS + 1}, {N_ACTIONS}))" for b in range(N_FP)
+    )
+    target = f"(r[i] + {gamma}D * ({future}))"
+    moved = target if step is None else f"q[i] + {step}D * ({target} - q[i])"
+    return F.expr(
+        f"aggregate(sequence(1, {sweeps}), array_repeat(0D, {PAIRS}), "
+        f"(q, k) -> transform(sequence(0, {PAIRS - 1}), i -> coalesce({moved}, q[i])))"
+    )
 
 
 def _as_table(chains: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """(klass, conf, q[3][3]) -> (state, action, q)."""
-    rows = chains.select(*extra, "klass", "conf", F.posexplode("q").alias("fp", "values"))
-    return rows.select(*extra, "klass", "conf", "fp", F.posexplode("values").alias("action", "q")).select(
-        *extra, encode_state("klass", "conf", "fp").alias("state"), F.col("action").cast("int").alias("action"), "q"
+    """(klass, conf, q) -> (state, action, q)."""
+    rows = chains.select(*extra, "klass", "conf", F.posexplode("q").alias("pair", "q"))
+    fp = F.floor(F.col("pair") / N_ACTIONS)
+    return rows.select(
+        *extra,
+        encode_state("klass", "conf", fp).alias("state"),
+        (F.col("pair") % N_ACTIONS).cast("int").alias("action"),
+        "q",
     )
 
 
@@ -149,7 +136,7 @@ def full_table(q_table: DataFrame) -> DataFrame:
 def q_iteration(mdp: DataFrame, sweeps: int = 50, gamma: float = DEFAULTS.gamma) -> DataFrame:
     """Q <- E[r] + gamma * E[max Q(next)], a fixed number of sweeps from zero."""
     chains = _chains(mdp)
-    return full_table(_as_table(chains.withColumn("q", fold_values(chains, sweeps, gamma, 1.0))))
+    return full_table(_as_table(chains.withColumn("q", fold_values(sweeps, gamma))))
 
 
 def batch_td_epochs(
@@ -160,7 +147,7 @@ def batch_td_epochs(
     Q is frozen within an epoch, so the mean error follows from the estimate.
     """
     chains = _chains(mdp).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
-    return _as_table(chains.withColumn("q", fold_values(chains, F.col("epoch"), gamma, alpha)), ["epoch"])
+    return _as_table(chains.withColumn("q", fold_values("epoch", gamma, alpha)), ["epoch"])
 
 
 def epsilon_schedule(spark, epochs: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertloom.functions.expressions import fold_index, hash_draw, label_position, split_name
+from alertloom.functions.expressions import fold_index, label_position, split_name
 from alertloom.operators.small import small_side
 from alertloom.params import CATEGORICAL, CLASSES, DEFAULTS, LABEL_COL, LABELS, LEAK_COLUMNS
 
@@ -33,9 +33,9 @@ def filter_class(df: DataFrame, value: str, column: str = LABEL_COL) -> DataFram
     return df.filter(F.col(column) == value)
 
 
-def union_class_parts(df: DataFrame, column: str = LABEL_COL, classes: Sequence[str] = CLASSES) -> DataFrame:
-    """The parts of the listed classes put together by column name."""
-    return reduce(DataFrame.unionByName, [filter_class(df, c, column) for c in classes])
+def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
+    """Parts put together by column name."""
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- splits -------------------------------------------------------------------
@@ -119,14 +119,17 @@ def label_indexer(column: str = LABEL_COL) -> StringIndexer:
     return StringIndexer(inputCol=column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")
 
 
-def category_indexers(columns: Sequence[str] = CATEGORICAL) -> list[StringIndexer]:
-    """Most frequent value first; unseen values and nulls get the last index."""
-    return [
-        StringIndexer(
-            inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="frequencyDesc"
-        )
-        for c in columns
-    ]
+def category_indexer(columns: Sequence[str] = CATEGORICAL) -> StringIndexer:
+    """Most frequent value first; unseen values and nulls get the last index.
+
+    One stage for all columns counts them in a single pass.
+    """
+    return StringIndexer(
+        inputCols=list(columns),
+        outputCols=[f"{c}_idx" for c in columns],
+        handleInvalid="keep",
+        stringOrderType="frequencyDesc",
+    )
 
 
 def one_hot_encoder(columns: Sequence[str] = CATEGORICAL) -> OneHotEncoder:
@@ -158,7 +161,7 @@ def fit_features(
     columns = feature_columns(train, categorical, label, exclude)
     stages = [
         label_indexer(label),
-        *category_indexers(categorical),
+        category_indexer(categorical),
         one_hot_encoder(categorical),
         assembler(columns),
         scaler(),

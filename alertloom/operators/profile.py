@@ -53,11 +53,11 @@ def categorical_profile(df: DataFrame, columns: Sequence[str], top: int = 10) ->
     The rank filter is pushed below the shuffle of the counts, so a column with
     very many values sends only ``top`` of them per task.
     """
-    values = df.select(F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    ).alias("kv")).select("kv.column", "kv.value")
+    texts = df.select([F.col(c).cast("string").alias(c) for c in columns])
+    values = texts.unpivot([], list(columns), "column", "value")
     counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    distinct = counts.groupBy("column").agg(F.count("*").alias("n_values"))
+    # counted through ``n`` so that both branches need the same columns and share one shuffle
+    distinct = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("n_values"))
     ranked = counts.withColumn(
         "rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_first("value")))
     ).filter(F.col("rank") <= top)

@@ -13,9 +13,7 @@ from alertloom.functions.expressions import (
     action_name,
     confidence_bucket,
     decode_state,
-    encode_state,
     first_argmax,
-    fp_rate_bucket,
     is_attack,
     label_name,
     policy_argmax,
@@ -36,7 +34,6 @@ from alertloom.params import (
     N_ACTIONS,
     N_FP,
     N_STATES,
-    NORMAL,
     Costs,
 )
 

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from alertloom.functions import expressions as fx
 from alertloom.operators import distribution, learning, metrics, models, ordered, prepare, profile, triage
+from alertloom.operators.small import small_side
 from alertloom.params import (
     CATEGORICAL,
+    CLASSES,
     DEFAULTS,
     FEATURE_COLUMNS,
     LABEL_COL,
@@ -71,25 +73,36 @@ def argmax_decisions(spark: SparkSession, sf: str) -> DataFrame:
     return triage.with_action(tables.alerts(spark, sf), fx.policy_argmax("predicted_class"))
 
 
+def argmax_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Only what the decision window needs, since these columns are shuffled."""
+    return argmax_decisions(spark, sf).select("alert_id", "stream_id", "ts", "true_label", "action")
+
+
 def known_split(spark: SparkSession, sf: str) -> DataFrame:
     """Clean records of known classes with their split."""
     clean = prepare.drop_leak_columns(prepare.filter_known_classes(tables.labelled_records(spark, sf)))
     return prepare.stratified_split(clean, "record_id")
 
 
+def stored_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written first: fitting reads it several times, each time only the columns it needs."""
+    return spark.read.parquet(sinks.write_parquet(known_split(spark, sf), scratch_path(spark, "clean"), ["split"]))
+
+
 def alert_split(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.stratified_split(tables.alerts(spark, sf), "alert_id")
 
 
 def fitted(spark: SparkSession, sf: str):
     """(pipeline fitted on train, records with split)."""
-    data = known_split(spark, sf)
+    data = stored_split(spark, sf)
     train = data.filter("split = 'train'").drop("split")
     return prepare.fit_features(train, exclude=["record_id"]), data
 
 
 def learned_q(spark: SparkSession, sf: str) -> DataFrame:
-    return learning.learn_policy(tables.alerts(spark, sf))
+    """Learned action values: a fitted table of 180 rows, computed once per call."""
+    return small_side(learning.learn_policy(tables.alerts(spark, sf)))
 
 
 def class_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -510,21 +523,21 @@ def kpi_summary(spark, sf):
 
 @query
 def fp_rate_before(spark, sf):
-    return rounded(ordered.rolling_fp_rate(argmax_decisions(spark, sf)), ["fp_rate_before"]).select(
+    return rounded(ordered.rolling_fp_rate(argmax_log(spark, sf)), ["fp_rate_before"]).select(
         "alert_id", "stream_id", "ts", "fp_rate_before"
     )
 
 
 @query
 def fp_rate_after(spark, sf):
-    return rounded(ordered.rolling_fp_rate(argmax_decisions(spark, sf)), ["fp_rate_after"]).select(
+    return rounded(ordered.rolling_fp_rate(argmax_log(spark, sf)), ["fp_rate_after"]).select(
         "alert_id", "stream_id", "ts", "fp_rate_after"
     )
 
 
 @query
 def fp_rate_global_halo(spark, sf):
-    rated = ordered.rolling_fp_rate(argmax_decisions(spark, sf), keys=())
+    rated = ordered.rolling_fp_rate(argmax_log(spark, sf), keys=())
     return rounded(rated, ["fp_rate_before", "fp_rate_after"]).select("alert_id", "fp_rate_before", "fp_rate_after")
 
 
@@ -549,7 +562,11 @@ def seeded_shuffle(spark, sf):
 
 @query
 def union_class_parts(spark, sf):
-    return prepare.union_class_parts(tables.labelled_records(spark, sf)).select("record_id", LABEL_COL)
+    # stored by class, so each part reads its own files only
+    path = scratch_path(spark, "by-class")
+    sinks.write_parquet(tables.labelled_records(spark, sf).select("record_id", LABEL_COL), path, [LABEL_COL])
+    stored = spark.read.parquet(path)
+    return prepare.union_parts([prepare.filter_class(stored, c) for c in CLASSES])
 
 
 @query
@@ -578,8 +595,8 @@ def label_index(spark, sf):
 
 
 def _encoded(spark, sf) -> DataFrame:
-    data = known_split(spark, sf)
-    stages = [*prepare.category_indexers(), prepare.one_hot_encoder()]
+    data = stored_split(spark, sf)
+    stages = [prepare.category_indexer(), prepare.one_hot_encoder()]
     return Pipeline(stages=stages).fit(data.filter("split = 'train'")).transform(data)
 
 
@@ -608,7 +625,8 @@ def assemble_features(spark, sf):
 @query
 def standardize(spark, sf):
     columns = [*LINEITEM_NUMBERS, "constant"]
-    rows = tables.read_table(spark, sf, "lineitem").select(*LINEITEM_NUMBERS, F.lit(7.0).alias("constant"))
+    lineitem = tables.spread(tables.read_table(spark, sf, "lineitem").select(*LINEITEM_NUMBERS), "l_extendedprice")
+    rows = lineitem.withColumn("constant", F.lit(7.0))
     stages = [prepare.assembler(columns), prepare.scaler()]
     return slots(Pipeline(stages=stages).fit(rows).transform(rows), "features", len(columns), [])
 
@@ -626,7 +644,8 @@ def feature_pipeline(spark, sf):
 def _model_data(spark, sf):
     """(features of train with weights and folds, features of test)."""
     model, data = fitted(spark, sf)
-    rows = prepare.transform_features(model, data, keep=["record_id", "split"])
+    out = prepare.transform_features(model, data, keep=["record_id", "split"])
+    rows = spark.read.parquet(sinks.write_parquet(out, scratch_path(spark, "features"), ["split"]))
     train = rows.filter("split = 'train'")
     weights = prepare.class_weight_map(prepare.class_weights(train))
     return prepare.attach_class_weight(train, weights), rows.filter("split = 'test'"), model, data

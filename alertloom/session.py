@@ -16,6 +16,8 @@ def build_session(app: str = "alertloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # wide projections whose fused method the JVM would not compile run as separate operators
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)

@@ -16,6 +16,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over all cores if the input has fewer splits than there are cores.
+
+    A small file with one row group would otherwise be worked on by one task. An
+    input with enough splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_records(spark: SparkSession, path: str, schema: str | StructType | DataType = RAW_SCHEMA) -> DataFrame:
     """Headerless CSV with columns named by position.
 
@@ -117,7 +127,7 @@ def record_rule(name: str) -> str:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Connection records in the raw 43-column layout, plus their key ``record_id``, from ``events``."""
-    events = read_table(spark, sf_dir, "events")
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
     y = F.when(hash_draw("event_id", "n") < 0.55, 1)
     for name, index in EVENT_CLASS.items():
         y = y.when(F.col("event_type") == name, index)
@@ -128,11 +138,17 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         hash_draw("event_id", "split").alias("late"),
         *[F.md5(F.expr(f"concat(cast(event_id as string), ':f{j}')")).alias(f"m{j}") for j in range(n_digests)],
     )
+    # each conversion of 8 hex digits yields the numbers of two columns
+    n_words = (len(RAW_COLUMNS) + 1) // 2
+    words = [
+        F.conv(F.substring(f"m{w // 4}", 8 * (w % 4) + 1, 8), 16, 10).cast("bigint").alias(f"w{w}") for w in range(n_words)
+    ]
+    numbered = base.select("record_id", "y", "late", *words)
     columns = []
     for i, (name, dtype) in enumerate(RAW_COLUMNS):
-        u = f"cast(conv(substring(m{i // 8}, {4 * (i % 8) + 1}, 4), 16, 10) as bigint)"
+        u = f"(w{i // 2} div 65536)" if i % 2 == 0 else f"(w{i // 2} % 65536)"
         columns.append(F.expr(f"cast({record_rule(name).format(u=u)} as {dtype})").alias(name))
-    return base.select("record_id", *columns)
+    return numbered.select("record_id", *columns)
 
 
 def labelled_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,12 @@ false-positive bucket, so Python only walks small integers.
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -19,6 +21,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from alertloom.operators.ordered import ordered_chunks
 from alertloom.params import DEFAULTS, ESCALATE, FP_RATE_CUTS, N_FP, NORMAL
 
+# Executors need not have this package: its functions are sent by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHOICES = [f"choice_{b}" for b in range(N_FP)]
 DECISION_SCHEMA = (
     "alert_id bigint, stream_id bigint, kept int, fp_rate_before double, fp_rate_after double, action int"
