@@ -38,6 +38,7 @@ class DecisionWindow:
     """The last ``size`` decisions with running counts."""
 
     def __init__(self, size: int, codes: str = ""):
+        codes = codes[-size:]
         self.codes = deque(codes, maxlen=size)
         self.escalated = len(codes) - codes.count(QUIET)
         self.false = codes.count(ESCALATED_NORMAL)
