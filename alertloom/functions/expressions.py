@@ -35,15 +35,16 @@ def _col(c: Column | str) -> Column:
 # --- deterministic draws ---------------------------------------------------
 
 
-def hash_draw(key: Column | str, salt: str | Column) -> Column:
+def hash_draw(key: Column | str, salt: str | Column, part: int = 0) -> Column:
     """Uniform number in [0, 1) that depends only on the key and the salt.
 
     Unlike ``rand(seed)`` it does not depend on how the input is partitioned,
-    so a task that is run again gives the same rows.
+    so a task that is run again gives the same rows. One digest holds four
+    independent draws, numbered by ``part``.
     """
     salt = F.lit(salt) if isinstance(salt, str) else salt
     digest = F.md5(F.concat(_col(key).cast("string"), F.lit(":"), salt))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
 def split_name(key: Column | str, salt: str = "split", train=DEFAULTS.train_share, val=DEFAULTS.val_share) -> Column:
@@ -192,6 +193,14 @@ def first_argmax(values: Column | str) -> Column:
     return (F.array_position(v, F.array_max(v)) - 1).cast("int")
 
 
+def _step_salt(salt: str | Column) -> Column:
+    return F.concat(F.lit("step"), F.lit(salt) if isinstance(salt, str) else salt)
+
+
+def random_action(key: Column | str, salt: str | Column = "0") -> Column:
+    return F.floor(hash_draw(key, _step_salt(salt), part=1) * N_ACTIONS).cast("int")
+
+
 def epsilon_greedy(
     key: Column | str, greedy: Column | str, epsilon: Column | float, salt: str | Column = "0"
 ) -> Column:
@@ -199,10 +208,7 @@ def epsilon_greedy(
 
     Both draws come from the key, so the choice is the same on every run.
     """
-    salt = F.lit(salt) if isinstance(salt, str) else salt
-    explore = hash_draw(key, F.concat(F.lit("explore"), salt)) < epsilon
-    random_action = F.floor(hash_draw(key, F.concat(F.lit("action"), salt)) * N_ACTIONS).cast("int")
-    return F.when(explore, random_action).otherwise(_col(greedy))
+    return F.when(hash_draw(key, _step_salt(salt)) < epsilon, random_action(key, salt)).otherwise(_col(greedy))
 
 
 def epsilon_after(

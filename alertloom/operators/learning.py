@@ -18,6 +18,7 @@ from alertloom.functions.expressions import (
     epsilon_after,
     epsilon_greedy,
     is_attack,
+    random_action,
     reward,
     triage_state,
 )
@@ -42,7 +43,8 @@ def transitions(
     The action does not depend on the state, so all decisions are drawn in one
     projection and the false-positive context is an ordinary window over them.
     """
-    acted = df.withColumn("action", epsilon_greedy(key, F.lit(0), F.lit(1.0), str(epoch)))
+    needed = df.select(*{key, *keys, *order, "true_label", "predicted_class", "predicted_proba"})
+    acted = needed.withColumn("action", random_action(key, str(epoch)))
     rated = rolling_fp_rate(acted, keys, order, window=window, **kw)
     return (
         rated.withColumn("state", triage_state("predicted_class", "predicted_proba", F.col("fp_rate_before")))

@@ -8,29 +8,38 @@ the last rows before it ("halo") that its frame reaches back to.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertloom.params import DEFAULTS, ESCALATE
 from alertloom.functions.expressions import is_false_positive
+from alertloom.params import DEFAULTS, ESCALATE
 from alertloom.session import reliable_checkpoint
 
 MAX_ROWS_PER_KEY = 5_000_000
 
 
-def default_chunks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def chunk_count(df: DataFrame, rows: int, reach: int = DEFAULTS.window) -> int:
+    """As many chunks as shuffle partitions, within two bounds on their size.
 
+    Chunks of ten windows or more keep the halo a small part of the work, and no
+    chunk should exceed ``MAX_ROWS_PER_KEY`` rows.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, rows // (10 * reach)), math.ceil(rows / MAX_ROWS_PER_KEY))
 
-def ordered_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
+
+def ordered_chunks(
+    df: DataFrame, order: Sequence[str], chunks: int | None = None, reach: int = DEFAULTS.window
+) -> DataFrame:
     """Range partition and sort on ``order``; ``_chunk`` numbers the partitions in that order.
 
     The result is checkpointed: range bounds come from a sample, and all readers
     of ``_chunk`` must see the same ones.
     """
-    ranged = df.repartitionByRange(chunks or default_chunks(df), *order)
+    ranged = df.repartitionByRange(chunks or chunk_count(df, df.count(), reach), *order)
     return reliable_checkpoint(ranged.sortWithinPartitions(*order).withColumn("_chunk", F.spark_partition_id()))
 
 
@@ -109,9 +118,11 @@ def rolling_fp_rate(
         "_fp", is_false_positive(action, true_label).cast("long")
     )
     if keys:
-        longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n
-        if (longest or 0) <= max_rows_per_key:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("longest"), F.sum("n").alias("rows"))
+        found = sizes.first()
+        if (found.longest or 0) <= max_rows_per_key:
             return _rolling_rate(flagged, keys, order, window).drop("_esc", "_fp")
-    rows = ordered_chunks(flagged, [*keys, *order], chunks)
+        chunks = chunks or chunk_count(df, found.rows, window)
+    rows = ordered_chunks(flagged, [*keys, *order], chunks, window)
     rated = _rolling_rate(with_halo(rows, keys, order, window), [*keys, "_chunk"], order, window)
     return rated.filter(~F.col("_halo")).drop("_halo", "_chunk", "_esc", "_fp")

@@ -93,33 +93,26 @@ def label_correlation(df: DataFrame, columns: Sequence[str], label: str = LABEL_
     """Pearson correlation of each column with the class index, strongest first.
 
     The index follows class frequency, so it is known only after a count. Rather
-    than joining it back to the rows, one pass takes count, mean and variance of
-    every column per class; the correlation follows from those few rows because
-    the index is constant within a class. Constant columns are left out.
+    than joining it back to the rows, one pass takes count, mean and variance per
+    class and column; the correlation follows from those few rows because the
+    index is constant within a class. Constant columns are left out.
     """
-    per_class = df.groupBy(label).agg(
-        F.count("*").alias("rows"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(c).cast("double").alias("k"),
-                    F.avg(c).alias("m"),
-                    F.var_pop(c).alias("v"),
-                    F.min(c).cast("double").alias("lo"),
-                    F.max(c).cast("double").alias("hi"),
-                )
-                for c in columns
-            ]
-        ).alias("stats"),
+    numbers = df.filter(F.col(label).isNotNull()).select(label, *[F.col(c).cast("double").alias(c) for c in columns])
+    stats = (
+        numbers.unpivot([label], list(columns), "column", "x")
+        .groupBy(label, "column")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count("x").cast("double").alias("k"),
+            F.avg("x").alias("m"),
+            F.var_pop("x").alias("v"),
+            F.min("x").alias("lo"),
+            F.max("x").alias("hi"),
+        )
     )
+    # over classes x columns rows: those of one class are peers
     by_frequency = Window.partitionBy().orderBy(F.desc("rows"), label)
-    indexed = (
-        per_class.filter(F.col(label).isNotNull())
-        .withColumn("y", (F.row_number().over(by_frequency) - 1).cast("double"))
-        .select("y", F.inline("stats"))
-        .filter("k > 0")
-    )
+    indexed = stats.withColumn("y", (F.dense_rank().over(by_frequency) - 1).cast("double")).filter("k > 0")
     sums = indexed.groupBy("column").agg(
         (F.max("hi") > F.min("lo")).alias("varies"),
         (F.sum(F.col("k") * F.col("m")) / F.sum("k")).alias("mean_x"),

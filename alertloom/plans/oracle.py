@@ -30,8 +30,12 @@ SPLITS = ("train", "val", "test")
 # --- pieces ------------------------------------------------------------------------
 
 
-def draw(key: str, salt: str) -> str:
-    return f"(('0x'||substr(md5({key}::VARCHAR||':'||{salt}),1,8))::BIGINT / 4294967296.0::DOUBLE)"
+def draw(key: str, salt: str, part: int = 0) -> str:
+    return f"(('0x'||substr(md5({key}::VARCHAR||':'||{salt}),{8 * part + 1},8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+def random_action(salt: str) -> str:
+    return f"floor({draw('alert_id', salt, 1)} * 3)::INTEGER"
 
 
 def split(key: str) -> str:
@@ -177,9 +181,8 @@ CARD = "card AS (" + _scorecard("policy", "acted") + ")"
 
 # --- learned values -----------------------------------------------------------------
 
-RANDOM_ACTION = f"floor({draw('alert_id', chr(39) + 'action0' + chr(39))} * 3)::INTEGER"
 TRANS = f"""
-explored AS (SELECT *, {RANDOM_ACTION} AS action FROM alerts),
+explored AS (SELECT *, {random_action(chr(39) + 'step0' + chr(39))} AS action FROM alerts),
 watched AS (SELECT *, {rate_over(BEFORE)} AS fp_before, {rate_over(AFTER)} AS fp_after FROM explored),
 trans AS MATERIALIZED (
   SELECT alert_id, stream_id, {state('predicted_class', 'predicted_proba', 'fp_before')} AS state, action,
@@ -327,10 +330,6 @@ _MACRO = "round(avg(f1) FILTER (actual > 0 OR predicted > 0), 4)"
 _WEIGHTED = "round(sum(actual::DOUBLE / total * {}), 4)"
 
 
-def _pct_long(cells: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT {k} FROM {v}" for k, v in cells.items())
-
-
 THRESHOLDS = (
     "cal AS (SELECT quantile_cont(error, 0.95) FILTER (true_label = 'Normal') AS threshold, max(error) AS max_error FROM alerts)"
 )
@@ -435,8 +434,8 @@ ORACLES: dict[str, str] = {
         *QTAB,
     ),
     "policy_epsilon_greedy": over_alerts(
-        f"SELECT alert_id, (CASE WHEN {draw('alert_id', chr(39) + 'explore7' + chr(39))} < 0.3 "
-        f"THEN floor({draw('alert_id', chr(39) + 'action7' + chr(39))} * 3) ELSE action END)::INTEGER AS action FROM decided",
+        f"SELECT alert_id, (CASE WHEN {draw('alert_id', chr(39) + 'step7' + chr(39))} < 0.3 "
+        f"THEN {random_action(chr(39) + 'step7' + chr(39))} ELSE action END)::INTEGER AS action FROM decided",
         DECIDED,
     ),
     "anomaly_score": over_alerts(
@@ -619,8 +618,8 @@ ORACLES: dict[str, str] = {
         f"SELECT epoch, sum(-{reward('act', 'true_label')}) AS cot, "
         "CASE WHEN count(*) FILTER (true_label <> 'Normal') > 0 THEN count(*) FILTER (act = 2 AND true_label <> 'Normal')::DOUBLE / "
         "count(*) FILTER (true_label <> 'Normal') ELSE 1.0 END::DOUBLE AS rc FROM ("
-        f"SELECT e.epoch::INTEGER AS epoch, true_label, CASE WHEN {draw('alert_id', chr(39) + 'explore' + chr(39) + '||e.epoch')} < "
-        f"greatest(0.05, pow(0.995, e.epoch - 1)) THEN floor({draw('alert_id', chr(39) + 'action' + chr(39) + '||e.epoch')} * 3)::INTEGER "
+        f"SELECT e.epoch::INTEGER AS epoch, true_label, CASE WHEN {draw('alert_id', chr(39) + 'step' + chr(39) + '||e.epoch')} < "
+        f"greatest(0.05, pow(0.995, e.epoch - 1)) THEN {random_action(chr(39) + 'step' + chr(39) + '||e.epoch')} "
         "ELSE action END AS act FROM decided CROSS JOIN range(1, 16) e(epoch)) GROUP BY epoch)",
         DECIDED,
     ),

@@ -192,6 +192,7 @@ def batch_decisions(
         df.select("alert_id", "stream_id", "ts", "true_label", *CHOICES).withColumn("_key", stream.cast("bigint")),
         order,
         chunks,
+        window,
     )
 
     inherited: dict[int, tuple[int, str]] = {}
