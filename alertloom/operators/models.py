@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from alertloom.operators.distribution import calibrate_threshold, score_anomalies
 from alertloom.params import DEFAULTS, LABEL_COL, NORMAL
+from alertloom.session import shared_dir, spread
 
 
 def _cross_validate(estimator, grid, train: DataFrame, folds: int, seed: int, parallelism: int, fold_col: str | None):
@@ -29,8 +30,9 @@ def _cross_validate(estimator, grid, train: DataFrame, folds: int, seed: int, pa
     )
     if fold_col:
         cv = cv.setFoldCol(fold_col)
+    shared_dir(train.sparkSession)  # node ids kept for long tree growth are checkpointed there
     # every fold and grid point reads the training rows again
-    train = train.persist()
+    train = spread(train).persist()
     try:
         return cv.fit(train).bestModel
     finally:
@@ -48,7 +50,7 @@ def fit_random_forest(
     fold_col: str | None = None,
 ):
     """Weighted random forest, chosen by cross-validated weighted F1."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, cacheNodeIds=True)
     if weight:
         rf = rf.setWeightCol(weight)
     grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths)).build()
@@ -66,7 +68,7 @@ def fit_gbt_one_vs_rest(
     fold_col: str | None = None,
 ):
     """One boosted binary classifier per class, chosen by cross-validated weighted F1. Unweighted."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, stepSize=step)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, stepSize=step, cacheNodeIds=True)
     ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
     grid = ParamGridBuilder().addGrid(gbt.maxIter, list(iterations)).addGrid(gbt.maxDepth, list(depths)).build()
     return _cross_validate(ovr, grid, train, folds, seed, parallelism, fold_col)

@@ -27,7 +27,7 @@ from alertloom.params import (
     NUMERIC_FEATURES,
     RAW_COLUMNS,
 )
-from alertloom.session import scratch_path
+from alertloom.session import scratch_path, spread
 from alertloom.sources import sinks, tables
 from alertloom.streaming import triage as stream
 
@@ -625,7 +625,7 @@ def assemble_features(spark, sf):
 @query
 def standardize(spark, sf):
     columns = [*LINEITEM_NUMBERS, "constant"]
-    lineitem = tables.spread(tables.read_table(spark, sf, "lineitem").select(*LINEITEM_NUMBERS), "l_extendedprice")
+    lineitem = spread(tables.read_table(spark, sf, "lineitem").select(*LINEITEM_NUMBERS), "l_extendedprice")
     rows = lineitem.withColumn("constant", F.lit(7.0))
     stages = [prepare.assembler(columns), prepare.scaler()]
     return slots(Pipeline(stages=stages).fit(rows).transform(rows), "features", len(columns), [])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "alertloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,7 +55,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df):
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialize in the shared folder and cut the lineage.
 
     Needed wherever two branches must see the very same rows in the very same
@@ -63,3 +63,13 @@ def reliable_checkpoint(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out to all cores, by key where one is given, if the input has fewer splits than there are cores.
+
+    A small file with one row group would otherwise be worked on by one task. An
+    input with enough splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

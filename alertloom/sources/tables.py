@@ -8,6 +8,7 @@ from pyspark.sql.types import DataType, StructType
 
 from alertloom.functions.expressions import attack_category, hash_draw, label_name
 from alertloom.params import LABEL_COL, RAW_COLUMNS
+from alertloom.session import spread
 
 RAW_SCHEMA = ", ".join(f"`{name}` {dtype}" for name, dtype in RAW_COLUMNS)
 
@@ -16,16 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over all cores if the input has fewer splits than there are cores.
-
-    A small file with one row group would otherwise be worked on by one task. An
-    input with enough splits is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def read_records(spark: SparkSession, path: str, schema: str | StructType | DataType = RAW_SCHEMA) -> DataFrame:
     """Headerless CSV with columns named by position.
 

@@ -8,6 +8,7 @@ from records import record_rows, write_csv
 
 from alertloom.operators import prepare, profile
 from alertloom.params import CATEGORICAL, FEATURE_COLUMNS, LABEL_COL, NUMERIC_FEATURES, RAW_COLUMNS
+from alertloom.session import spread
 from alertloom.sources import sinks, tables
 
 
@@ -180,6 +181,7 @@ def test_scan_reads_only_the_needed_columns(spark, sf_dir):
 
 
 def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
-    assert tables.spread(spark.range(100).repartition(1), "id").rdd.getNumPartitions() >= 1
+    assert spread(spark.range(0, 100, 1, 1), "id").count() == 100
+    assert "Exchange" in spread(spark.range(0, 100, 1, 1), "id")._jdf.queryExecution().executedPlan().toString()
     wide = spark.range(0, 100, 1, 64)
-    assert tables.spread(wide, "id") is wide
+    assert spread(wide, "id") is wide
