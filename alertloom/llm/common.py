@@ -9,7 +9,8 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from alertloom.session import scratch_path
@@ -40,6 +41,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(StructType.fromJson(df.schema.jsonValue())).parquet(path)
 
 
+def label_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
+    """``doc_id`` and label of at most ``per_label`` rows of each label, those of least id hash.
+
+    Each label is first thinned to about four times as many rows as wanted, by
+    hash against its count, so ranking meets few rows whatever the table's size.
+    Counts have one row per label, so they are broadcast.
+    """
+    counts = rows.groupBy(label).agg(F.count("*").alias("_n")).withColumnRenamed(label, "_label")
+    key = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 32)) / float(1 << 32)
+    keyed = rows.select("doc_id", label, key.alias("_key"))
+    near = keyed.join(F.broadcast(counts), F.col(label) == F.col("_label"))
+    near = near.filter(F.col("_key") * F.col("_n") < 4 * per_label)
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_key", "doc_id"))
+    return near.withColumn("_place", place).filter(F.col("_place") <= per_label).select("doc_id", label).distinct()
+
+
 def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     """An object kept by a Python worker from task to task."""
     kept = sys.modules.setdefault("_alertloom_worker_state", types.ModuleType("_alertloom_worker_state")).__dict__

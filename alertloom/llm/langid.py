@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertloom.llm.common import LOWER, text_chunks, without
+from alertloom.llm.common import LOWER, label_sample, text_chunks, without
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -160,10 +160,7 @@ def training_windows(
     can be broadcast to pick the texts. Windows are taken at places drawn from the id's hash.
     """
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    key = F.xxhash64(F.col("doc_id").cast("string"))
-    order = Window.partitionBy("lang").orderBy("_key", "doc_id")
-    picked = known.select("doc_id", "lang", key.alias("_key")).withColumn("_place", F.row_number().over(order))
-    picked = picked.filter(F.col("_place") <= per_language).select("doc_id", "lang").distinct()
+    picked = label_sample(known, "lang", per_language)
     chosen = known.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     cuts = [

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertloom.llm.common import without
+from alertloom.llm.common import label_sample, without
 from alertloom.llm.langid import held_out
 
 #: Labelled documents of each kind in the training sample, and patterns kept at most.
@@ -148,9 +148,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
     The ids are ranked without texts; so few of them may be broadcast to pick the texts.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    picked = known.select("doc_id", "toxic").withColumn("_place", F.row_number().over(order))
-    picked = picked.filter(F.col("_place") <= per_label).select("doc_id", "toxic").distinct()
+    picked = label_sample(known, "toxic", per_label)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     # copies count once, or what their texts share would look telling
     return rows.groupBy("text").agg(F.max("toxic").alias("toxic")).select("text", F.col("toxic").cast("int"))
