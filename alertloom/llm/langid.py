@@ -182,8 +182,8 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
-def predictor(net: ByteConvNet | None):
-    """Function for ``mapInArrow``: appends ``lang_pred`` and ``score`` and drops the text."""
+def predictor(net: ByteConvNet | None, keep: Sequence[str]):
+    """Function for ``mapInArrow``: columns ``keep`` with ``lang_pred`` and ``score``."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
@@ -198,7 +198,6 @@ def predictor(net: ByteConvNet | None):
                 best = p.argmax(axis=1)
                 lang = np.where(letters, np.array(net.languages, object)[best], UNDETERMINED)
                 score = np.where(letters, np.clip(p[np.arange(n), best], 0, 1), 0.0)
-            keep = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(c) for c in keep] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
 
@@ -207,19 +206,17 @@ def predictor(net: ByteConvNet | None):
 
 def identify(docs: DataFrame, net: ByteConvNet | None, keep: Sequence[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``. One pass, no shuffle."""
-    rows = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(predictor(net), f"{schema}, lang_pred string, score double")
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(predictor(net, list(keep)), f"{schema}, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, train_on: DataFrame | None = None) -> DataFrame:
     """All columns of ``docs`` with ``held_out, lang_pred, score``; learns from ``train_on`` (``docs`` itself)."""
     net = train(*training_windows(docs if train_on is None else train_on))
-    rows = without(docs, [*ADDED, "_whole"])
-    rest = [c for c in rows.columns if c.lower() != "text"]
-    found = identify(rows.withColumn("_whole", F.col("text")), net, [*rest, "_whole"])
-    order = [f"`{c}`" if c.lower() != "text" else "_whole AS `text`" for c in rows.columns]
-    return found.withColumn("held_out", held_out()).selectExpr(*order, *ADDED)
+    rows = without(docs, ADDED)
+    found = identify(rows, net, rows.columns)
+    return found.withColumn("held_out", held_out()).select(*[f"`{c}`" for c in rows.columns], *ADDED)
 
 
 def op10_language(spark, sf_dir: str) -> DataFrame:

@@ -217,8 +217,8 @@ def learn(sample: DataFrame, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
     return lexicon
 
 
-def scorer(lexicon: Lexicon):
-    """Function for ``mapInArrow``: appends ``score`` and drops the text."""
+def scorer(lexicon: Lexicon, keep: Sequence[str]):
+    """Function for ``mapInArrow``: columns ``keep`` with ``score``."""
     fold = folder()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +227,6 @@ def scorer(lexicon: Lexicon):
             texts = batch.column("text")
             x = [features(fold(t.as_py()), automaton) for t in texts]
             value = lexicon.score(np.array(x).reshape(-1, 2)) if lexicon.patterns else np.zeros(len(x))
-            keep = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(c) for c in keep] + [pa.array(value, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
 
@@ -236,9 +235,9 @@ def scorer(lexicon: Lexicon):
 
 def scored(docs: DataFrame, lexicon: Lexicon, keep: Sequence[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``score``. One pass, no shuffle."""
-    rows = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(scorer(lexicon), f"{schema}, score double")
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(scorer(lexicon, list(keep)), f"{schema}, score double")
 
 
 def predicted(score: str = "score", threshold: float = THRESHOLD):
@@ -247,11 +246,9 @@ def predicted(score: str = "score", threshold: float = THRESHOLD):
 
 def with_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """All columns of ``docs`` with ``held_out, score, predicted``."""
-    rows = without(docs, [*ADDED, "_whole"])
-    rest = [c for c in rows.columns if c.lower() != "text"]
-    found = scored(rows.withColumn("_whole", F.col("text")), lexicon, [*rest, "_whole"])
-    order = [f"`{c}`" if c.lower() != "text" else "_whole AS `text`" for c in rows.columns]
-    return found.withColumns({"held_out": held_out(), "predicted": predicted()}).selectExpr(*order, *ADDED)
+    rows = without(docs, ADDED)
+    found = scored(rows, lexicon, rows.columns).withColumns({"held_out": held_out(), "predicted": predicted()})
+    return found.select(*[f"`{c}`" for c in rows.columns], *ADDED)
 
 
 def lexicon_from(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None) -> Lexicon:
