@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 
 from alertloom.params import (
     ACTION_NAMES,
+    ATTACK_CATEGORIES,
     CONFIDENCE_CUTS,
+    Costs,
     DEFAULTS,
     DOS,
     ESCALATE,
     FP_RATE_CUTS,
+    HEURISTIC_IGNORE,
+    HEURISTIC_MONITOR,
     IGNORE,
     LABELS,
     MONITOR,
+    NORMAL,
+    NORMAL_INDEX,
     N_ACTIONS,
     N_CONFIDENCE,
     N_FP,
-    NORMAL,
-    NORMAL_INDEX,
     UNKNOWN,
-    Costs,
-    attack_category_items,
 )
 
 
@@ -62,7 +64,7 @@ def fold_index(key: Column | str, k: int, salt: str = "fold") -> Column:
 
 def attack_category(attack_type: Column | str) -> Column:
     """Category of a raw attack type, ``Unknown`` where it is not mapped."""
-    mapping = F.create_map(*[F.lit(x) for pair in attack_category_items() for x in pair])
+    mapping = F.create_map(*[F.lit(x) for pair in ATTACK_CATEGORIES.items() for x in pair])
     return F.coalesce(F.try_element_at(mapping, _col(attack_type)), F.lit(UNKNOWN))
 
 
@@ -181,8 +183,8 @@ def policy_argmax(predicted_class: Column | str) -> Column:
 
 def policy_heuristic(predicted_class: Column | str, proba: Column | str) -> Column:
     return (
-        F.when((_col(predicted_class) == NORMAL_INDEX) & (_col(proba) > 0.85), IGNORE)
-        .when(_col(proba) < 0.60, MONITOR)
+        F.when((_col(predicted_class) == NORMAL_INDEX) & (_col(proba) > HEURISTIC_IGNORE), IGNORE)
+        .when(_col(proba) < HEURISTIC_MONITOR, MONITOR)
         .otherwise(ESCALATE)
     )
 

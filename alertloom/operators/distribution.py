@@ -8,86 +8,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import anomaly_score
-from alertloom.operators.ordered import ordered_chunks
-from alertloom.operators.small import small_side
 from alertloom.params import LABEL_COL, NORMAL
 
 RANK_ACCURACY = 10_000
-SMALL_CANDIDATES = 1_000_000
+VALUE_BLOCKS = 1024
 
 
-def exact_percentile(
-    df: DataFrame, column: str, p: float, accuracy: int = RANK_ACCURACY, small: int = SMALL_CANDIDATES
-) -> float | None:
+def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = RANK_ACCURACY) -> float | None:
     """Percentile with linear interpolation, exact, without gathering the column in one task.
 
     ``percentile`` keeps every distinct value in one buffer. Here an approximate
-    quantile brackets the wanted ranks, a count proves that the bracket holds
-    them, and only rows inside it go on. Each round shuffles a few numbers and
-    leaves a small share of the rows, until at most ``small`` are left to sort.
-    The column is read several times, so that one column is kept.
+    quantile brackets the wanted ranks and a count proves that the bracket holds
+    them. Values inside it are counted per block of the bracket, and the running
+    count within blocks finds the ranks. The column is read several times, so
+    that one column is kept.
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null").persist()
     try:
-        return _percentile(values, p, accuracy, small)
+        return _percentile(values, p, accuracy)
     finally:
         values.unpersist()
 
 
-def _percentile(values: DataFrame, p: float, accuracy: int, small: int) -> float | None:
-    first = values.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if first.n == 0:
+def _percentile(values: DataFrame, p: float, accuracy: int) -> float | None:
+    n = values.count()
+    if n == 0:
         return None
-    position = p * (first.n - 1)
+    position = p * (n - 1)
     ranks = sorted({math.floor(position), math.ceil(position)})
-    lo, hi, below, inside = first.lo, first.hi, 0, first.n
     slack = 2.0 / accuracy
-    while lo < hi and inside > small:
-        shares = [
-            max(0.0, (ranks[0] - below) / inside - slack),
-            min(1.0, (ranks[-1] - below + 1) / inside + slack),
-        ]
-        span = values.filter(F.col("x").between(lo, hi))
-        left, right = span.agg(F.percentile_approx("x", shares, accuracy).alias("q")).first().q
+    while True:
+        shares = [max(0.0, ranks[0] / n - slack), min(1.0, (ranks[-1] + 1) / n + slack)]
+        low, high = values.agg(F.percentile_approx("x", shares, accuracy).alias("q")).first().q
         counts = values.agg(
-            F.count_if(F.col("x") < left).alias("below"), F.count_if(F.col("x").between(left, right)).alias("inside")
+            F.count_if(F.col("x") < low).alias("below"), F.count_if(F.col("x").between(low, high)).alias("inside")
         ).first()
-        if counts.below > ranks[0] or ranks[-1] >= counts.below + counts.inside:
-            slack *= 4  # the bracket missed a rank
-        elif counts.inside == inside:
-            break  # nearly all rows share a few values; ranks cannot narrow it further
-        else:
-            lo, hi, below, inside = left, right, counts.below, counts.inside
-    if lo == hi:
-        return float(lo)
-    grouped = values.filter(F.col("x").between(lo, hi)).groupBy("x").agg(F.count("*").alias("c"))
-    found = _values_at(grouped, [rank - below for rank in ranks], one_task=inside <= small)
+        if counts.below <= ranks[0] and ranks[-1] < counts.below + counts.inside:
+            break
+        slack *= 4  # the bracket missed a rank
+    if low == high:
+        return float(low)
+    block = F.floor((F.col("x") - low) / (high - low) * VALUE_BLOCKS)
+    grouped = values.filter(F.col("x").between(low, high)).groupBy("x").agg(F.count("*").alias("c"))
+    found = _values_at(grouped.withColumn("block", block), [rank - counts.below for rank in ranks])
     return float(found[0] + (found[-1] - found[0]) * (position - math.floor(position)))
 
 
-def _values_at(grouped: DataFrame, ranks: list[int], one_task: bool) -> list[float]:
-    """Values at the given zero-based ranks of (x, c) groups.
+def _values_at(grouped: DataFrame, ranks: list[int]) -> list[float]:
+    """Values at the given zero-based ranks of (x, c, block) groups.
 
-    A proven small number of groups is counted up in one task. Otherwise they are
-    range partitioned, the partition totals locate the ranks, and the running
-    count is taken within those partitions only.
+    The totals of the blocks (at most ``VALUE_BLOCKS`` + 1 rows, so they are
+    broadcast) tell how many values lie before each; the running count is taken
+    within blocks.
     """
-    if one_task:
-        rows, chunks = grouped.withColumn("_chunk", F.lit(0)), [(0, None)]
-    else:
-        rows = ordered_chunks(grouped, ["x"])
-        chunks = sorted((r["_chunk"], r["c"]) for r in rows.groupBy("_chunk").agg(F.sum("c").alias("c")).collect())
-    running = rows.withColumn("upto", F.sum("c").over(Window.partitionBy("_chunk").orderBy("x")))
-    found = []
-    for rank in ranks:
-        start = 0
-        for chunk, size in chunks:
-            if size is None or rank < start + size:
-                break
-            start += size
-        at = running.filter((F.col("_chunk") == chunk) & (F.col("upto") > rank - start))
-        found.append(at.agg(F.min("x").alias("x")).first().x)
-    return found
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = grouped.groupBy("block").agg(F.sum("c").alias("n"))
+    bases = totals.select("block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    running = grouped.withColumn("upto", F.sum("c").over(Window.partitionBy("block").orderBy("x")))
+    placed = running.join(F.broadcast(bases), "block").withColumn("upto", F.col("upto") + F.col("base"))
+    return list(placed.agg(*[F.min(F.when(F.col("upto") > rank, F.col("x"))) for rank in ranks]).first())
 
 
 # --- anomaly ------------------------------------------------------------------
@@ -122,7 +101,8 @@ def class_histogram(df: DataFrame, by: str, value: str, bins: int) -> DataFrame:
     single value gets the range value - 0.5 .. value + 0.5.
     """
     clean = df.select(F.col(by), F.col(value).cast("double").alias("x")).filter("x is not null")
-    ranges = small_side(clean.groupBy(by).agg(F.count("*").alias("rows"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    # a row per class, so it may be broadcast
+    ranges = F.broadcast(clean.groupBy(by).agg(F.count("*").alias("rows"), F.min("x").alias("lo"), F.max("x").alias("hi")))
     flat = F.col("lo") == F.col("hi")
     ranges = ranges.select(
         F.col(by).alias("_by"),

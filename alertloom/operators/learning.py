@@ -17,6 +17,7 @@ from alertloom.functions.expressions import (
     encode_state,
     epsilon_after,
     epsilon_greedy,
+    first_argmax,
     is_attack,
     random_action,
     reward,
@@ -152,27 +153,40 @@ def batch_td_epochs(
     return _as_table(chains.withColumn("q", fold_values("epoch", gamma, alpha)), ["epoch"])
 
 
-def epsilon_schedule(spark, epochs: int) -> DataFrame:
-    """Exploration rate after each epoch."""
-    return spark.range(1, epochs + 1).select(F.col("id").cast("int").alias("epoch"), epsilon_after("id").alias("epsilon"))
+def epsilon_schedule(epochs: DataFrame, epoch: str = "epoch") -> DataFrame:
+    """Adds ``epsilon``, the exploration rate after each epoch."""
+    return epochs.withColumn("epsilon", epsilon_after(epoch))
 
 
 def epoch_history(
     df: DataFrame,
-    greedy: str = "greedy",
+    values: DataFrame,
     epochs: int = 15,
     key: str = "alert_id",
+    keys: Sequence[str] = ("stream_id",),
+    order: Sequence[str] = ("ts", "alert_id"),
     costs: Costs = DEFAULTS.costs,
     recall_floor: float = DEFAULTS.recall_floor,
+    **kw,
 ) -> DataFrame:
-    """Cost, system recall and exploration rate per epoch of exploring around a greedy action.
+    """Cost, system recall and exploration rate per epoch of exploring around the values being learned.
 
-    Epoch k explores at the rate left by the k-1 decays before it; the reported
-    rate is the one after its own decay.
+    ``values`` are those after each epoch (``batch_td_epochs``). Epoch k acts on the values left by
+    the k-1 epochs before it (zeros at first) in the false-positive context of its own behavior
+    decisions, and explores at the rate left by k-1 decays; the reported rate is the one after its own.
     """
-    passes = df.select(key, "true_label", greedy).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
-    acted = passes.withColumn(
-        "action", epsilon_greedy(key, greedy, epsilon_after(F.col("epoch") - 1), F.col("epoch").cast("string"))
+    passes = df.select(*{key, *keys, *order, "true_label", "predicted_class", "predicted_proba"})
+    passes = passes.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
+    passes = passes.withColumn("action", random_action(key, F.col("epoch").cast("string")))
+    rated = rolling_fp_rate(passes, ["epoch", *keys], order, **kw)
+    rated = rated.withColumn("state", triage_state("predicted_class", "predicted_proba", F.col("fp_rate_before")))
+    # at most 60 states for each epoch
+    cells = [F.coalesce(F.max(F.when(F.col("action") == a, F.col("q"))), F.lit(0.0)) for a in range(N_ACTIONS)]
+    known = values.groupBy((F.col("epoch") + 1).alias("epoch"), "state").agg(first_argmax(F.array(*cells)).alias("_best"))
+    acted = rated.drop("action").join(F.broadcast(known), ["epoch", "state"], "left")
+    acted = acted.withColumn("_best", F.coalesce("_best", F.lit(0)))
+    acted = acted.withColumn(
+        "action", epsilon_greedy(key, "_best", epsilon_after(F.col("epoch") - 1), F.col("epoch").cast("string"))
     )
     counts = acted.groupBy("epoch", "true_label", "action").agg(F.count("*").alias("n"))
     n, attack, hit = F.col("n"), is_attack("true_label"), F.col("action") == ESCALATE

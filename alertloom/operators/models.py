@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
@@ -14,7 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.operators.distribution import calibrate_threshold, score_anomalies
-from alertloom.params import DEFAULTS, LABEL_COL, NORMAL
+from alertloom.params import (
+    BOOSTED_DEPTHS,
+    BOOSTED_ITERATIONS,
+    BOTTLENECK_LEAST,
+    BOTTLENECK_SHARE,
+    DEFAULTS,
+    FOREST_DEPTHS,
+    FOREST_TREES,
+    LABEL_COL,
+    NORMAL,
+)
 from alertloom.session import shared_dir, spread
 
 
@@ -41,8 +52,8 @@ def _cross_validate(estimator, grid, train: DataFrame, folds: int, seed: int, pa
 
 def fit_random_forest(
     train: DataFrame,
-    trees: Sequence[int] = (50, 100),
-    depths: Sequence[int] = (8, 12),
+    trees: Sequence[int] = FOREST_TREES,
+    depths: Sequence[int] = FOREST_DEPTHS,
     folds: int = DEFAULTS.rf_folds,
     seed: int = DEFAULTS.seed,
     parallelism: int = DEFAULTS.cv_parallelism,
@@ -59,8 +70,8 @@ def fit_random_forest(
 
 def fit_gbt_one_vs_rest(
     train: DataFrame,
-    iterations: Sequence[int] = (20, 40),
-    depths: Sequence[int] = (5, 8),
+    iterations: Sequence[int] = BOOSTED_ITERATIONS,
+    depths: Sequence[int] = BOOSTED_DEPTHS,
     folds: int = DEFAULTS.gbt_folds,
     step: float = 0.1,
     seed: int = DEFAULTS.seed,
@@ -95,7 +106,7 @@ def feature_importance(model, transformed: DataFrame, features: str = "features_
 
 def components_for(n_features: int) -> int:
     """Width of the bottleneck."""
-    return max(n_features // 8, 4)
+    return max(n_features // BOTTLENECK_SHARE, BOTTLENECK_LEAST)
 
 
 def fit_pca_detector(train: DataFrame, n_features: int, k: int | None = None, label: str = LABEL_COL) -> PipelineModel:
@@ -112,16 +123,19 @@ def fit_pca_detector(train: DataFrame, n_features: int, k: int | None = None, la
 def reconstruction_error(model: PipelineModel, df: DataFrame, n_features: int) -> DataFrame:
     """Mean squared reconstruction error per row as ``mse``.
 
-    The components are orthonormal, so the squared error is the squared length of
-    the centered row minus that of its projection; no matrix is shipped.
+    Residuals are taken slot by slot, as a difference of squared lengths would
+    lose its digits when the reconstruction is good. The components are a
+    matrix of slots x ``k``, which depends on the features alone.
     """
+    components = model.stages[1].pc.toArray().tolist()
+    scored = model.transform(df).withColumn("_c", vector_to_array("centered")).withColumn("_p", vector_to_array("projected"))
 
-    def squared(column: str):
-        return F.aggregate(vector_to_array(column), F.lit(0.0), lambda acc, x: acc + x * x)
+    def residual(i: int):
+        rebuilt = reduce(lambda a, b: a + b, [F.col("_p")[j] * w for j, w in enumerate(components[i])])
+        return F.pow(F.col("_c")[i] - rebuilt, 2)
 
-    scored = model.transform(df)
-    error = (squared("centered") - squared("projected")) / n_features
-    return scored.withColumn("mse", F.greatest(error, F.lit(0.0))).drop("centered", "projected")
+    error = F.aggregate(F.array(*[residual(i) for i in range(n_features)]), F.lit(0.0), lambda acc, x: acc + x) / n_features
+    return scored.withColumn("mse", error).drop("centered", "projected", "_c", "_p")
 
 
 def fit_anomaly_detector(train: DataFrame, val: DataFrame, n_features: int, k: int | None = None, label: str = LABEL_COL):

@@ -1,14 +1,14 @@
 """Windows over long orderings, kept parallel.
 
-A window over one global order, or over a key that holds a large share of all
-rows, would run in a single task. Here rows are range partitioned on key and
-order, so one key can span many partitions ("chunks"), and each chunk is given
-the last rows before it ("halo") that its frame reaches back to.
+A window over one global order, or over a key that holds a large share of all rows, would run
+in a single task. Here every row gets its position within its key: rows are counted per key and
+time block, the counts are summed up, and a row adds its number within the block. Positions cut
+a key into chunks of equal length, and the last rows of a chunk also go to the next one, as far
+as a frame reaches back. One plan serves keys of all sizes; it takes no sample and starts no job.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,60 +16,47 @@ from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import is_false_positive
 from alertloom.params import DEFAULTS, ESCALATE
-from alertloom.session import reliable_checkpoint
 
-MAX_ROWS_PER_KEY = 5_000_000
+CHUNK_ROWS = 100_000
+#: Rows of one key within so many seconds are numbered in one task.
+BLOCK_SECONDS = 60
 
 
-def chunk_count(df: DataFrame, rows: int, reach: int = DEFAULTS.window) -> int:
-    """As many chunks as shuffle partitions, within two bounds on their size.
+def time_block(df: DataFrame, column: str, seconds: int = BLOCK_SECONDS) -> Column:
+    """Number of the time block, increasing with the column; null comes first."""
+    if df.schema[column].dataType.simpleString() == "timestamp":
+        at = F.floor(F.unix_micros(column) / 1_000_000)
+    else:  # without a zone: counted from its own calendar, so that no zone can reorder it
+        day = F.unix_date(F.to_date(column)).cast("bigint")
+        at = day * 86_400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    return F.coalesce(F.floor(at / seconds), F.lit(-(1 << 62)))
 
-    Chunks of ten windows or more keep the halo a small part of the work, and no
-    chunk should exceed ``MAX_ROWS_PER_KEY`` rows.
+
+def positioned(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_seconds: int = BLOCK_SECONDS) -> DataFrame:
+    """Adds ``_key`` (struct of the keys; nulls are equal) and ``_pos``, 0, 1, .. in order within the key.
+
+    ``order`` starts with a time and must be unique within a key.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(partitions, rows // (10 * reach)), math.ceil(rows / MAX_ROWS_PER_KEY))
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))
+    rows = df.withColumn("_key", key).withColumn("_block", time_block(df, order[0], block_seconds))
+    counts = rows.groupBy("_key", "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_key", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_key", "_block").orderBy(*order)
+    numbered = rows.withColumn("_nth", F.row_number().over(within)).join(bases, ["_key", "_block"])
+    return numbered.withColumn("_pos", F.col("_base") + F.col("_nth") - 1).drop("_block", "_nth", "_base")
 
 
-def ordered_chunks(
-    df: DataFrame, order: Sequence[str], chunks: int | None = None, reach: int = DEFAULTS.window
-) -> DataFrame:
-    """Range partition and sort on ``order``; ``_chunk`` numbers the partitions in that order.
+def with_halo(rows: DataFrame, reach: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Adds ``_chunk`` and ``_halo``: the last ``reach`` rows of a chunk are also halo rows of the next one."""
+    size = max(chunk_rows, reach, 1)
+    own = F.floor(F.col("_pos") / size)
 
-    The result is checkpointed: range bounds come from a sample, and all readers
-    of ``_chunk`` must see the same ones.
-    """
-    ranged = df.repartitionByRange(chunks or chunk_count(df, df.count(), reach), *order)
-    return reliable_checkpoint(ranged.sortWithinPartitions(*order).withColumn("_chunk", F.spark_partition_id()))
-
-
-def with_halo(rows: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int) -> DataFrame:
-    """Adds to each chunk the ``reach`` rows of the same key before it, marked ``_halo``."""
-    chunk = [*keys, "_chunk"]
-    sizes = rows.groupBy(*chunk).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    # Only chunks that continue a key need a halo; keys within one chunk drop out here.
-    continued = starts.filter("_start > 0")
-    backwards = Window.partitionBy(*chunk).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        rows.withColumn("_back", F.row_number().over(backwards))
-        .filter(F.col("_back") <= reach)
-        .join(starts, chunk)
-        # position of the row within its key, counted from 1
-        .withColumn("_pos", F.col("_start") + F.col("_size") - F.col("_back") + 1)
-        .drop("_chunk", "_back", "_start", "_size")
-        .withColumn("_block", F.floor((F.col("_pos") - 1) / reach))
-    )
-    last = F.floor((F.col("_start") - 1) / reach)
-    wanted = continued.select(*keys, "_chunk", "_start", F.explode(F.array(last - 1, last)).alias("_block"))
-    halo = (
-        tails.join(wanted, [*keys, "_block"])
-        .filter((F.col("_pos") <= F.col("_start")) & (F.col("_pos") > F.col("_start") - reach))
-        .withColumn("_halo", F.lit(True))
-        .select(*rows.columns, "_halo")
-    )
-    return rows.withColumn("_halo", F.lit(False)).unionByName(halo)
+    def place(chunk: Column, halo: bool) -> Column:
+        return F.struct(chunk.alias("_chunk"), F.lit(halo).alias("_halo"))
+
+    both = F.when(F.col("_pos") % size >= size - reach, F.array(place(own, False), place(own + 1, True)))
+    return rows.select("*", F.inline(both.otherwise(F.array(place(own, False)))))
 
 
 def _rolling_rate(df: DataFrame, part: Sequence[str], order: Sequence[str], window: int) -> DataFrame:
@@ -102,27 +89,17 @@ def rolling_fp_rate(
     action: str = "action",
     true_label: str = "true_label",
     window: int = DEFAULTS.window,
-    max_rows_per_key: int = MAX_ROWS_PER_KEY,
-    chunks: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """False positives among the escalations of the last ``window`` decisions.
 
     Adds ``fp_rate_before`` (the decisions before this one) and ``fp_rate_after``
     (this one included); 0.0 where nothing was escalated. ``order`` must be
     unique within a key. With no keys the order is global.
-
-    Keys with at most ``max_rows_per_key`` rows use a plain window. If one is
-    longer, or there are no keys, the chunked plan is used for all rows.
     """
     flagged = df.withColumn("_esc", (F.col(action) == ESCALATE).cast("long")).withColumn(
         "_fp", is_false_positive(action, true_label).cast("long")
     )
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("longest"), F.sum("n").alias("rows"))
-        found = sizes.first()
-        if (found.longest or 0) <= max_rows_per_key:
-            return _rolling_rate(flagged, keys, order, window).drop("_esc", "_fp")
-        chunks = chunks or chunk_count(df, found.rows, window)
-    rows = ordered_chunks(flagged, [*keys, *order], chunks, window)
-    rated = _rolling_rate(with_halo(rows, keys, order, window), [*keys, "_chunk"], order, window)
-    return rated.filter(~F.col("_halo")).drop("_halo", "_chunk", "_esc", "_fp")
+    rows = with_halo(positioned(flagged, keys, order), window, chunk_rows)
+    rated = _rolling_rate(rows, ["_key", "_chunk"], ["_pos"], window)
+    return rated.filter(~F.col("_halo")).drop("_halo", "_chunk", "_key", "_pos", "_esc", "_fp")

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import fold_index, label_position, split_name
-from alertloom.operators.small import small_side
 from alertloom.params import CATEGORICAL, CLASSES, DEFAULTS, LABEL_COL, LABELS, LEAK_COLUMNS
 
 SPLITS = ("train", "val", "test")
@@ -93,8 +92,11 @@ def class_weight_map(weights: DataFrame, column: str = LABEL_COL, labels: Sequen
 
 
 def attach_class_weight(df: DataFrame, weight_map: DataFrame, label: str = "label") -> DataFrame:
-    """Adds ``class_weight``, 1.0 where the class has none. The lookup is by integer index."""
-    lookup = small_side(weight_map.select(F.col("label").alias("_label"), F.col("weight").alias("_weight")))
+    """Adds ``class_weight``, 1.0 where the class has none. The lookup is by integer index.
+
+    The map has a row per known class, so it may be broadcast.
+    """
+    lookup = F.broadcast(weight_map.select(F.col("label").alias("_label"), F.col("weight").alias("_weight")))
     return (
         df.join(lookup, F.col(label).cast("int") == F.col("_label"), "left")
         .withColumn("class_weight", F.coalesce("_weight", F.lit(1.0)))

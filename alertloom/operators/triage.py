@@ -34,6 +34,7 @@ from alertloom.params import (
     N_ACTIONS,
     N_FP,
     N_STATES,
+    SCORECARD_COLUMNS,
     Costs,
 )
 
@@ -186,15 +187,16 @@ def scorecard(
     )
     r, p = F.col("recall"), F.col("precision")
     f1 = F.when(r + p > 0, 2 * r * p / (r + p)).otherwise(0.0)
+    named = SCORECARD_COLUMNS
     return rates.select(
         *by,
-        F.round("cot", 2).alias("COT"),
-        F.round(F.col("cot") / F.col("alerts"), 4).alias("COT_por_alerta"),
-        F.round(r, 4).alias("recall_sistema"),
-        F.round(p, 4).alias("precision"),
-        F.round(f1, 4).alias("f1_binario"),
-        *[F.round(F.col(f"n_{a}") / F.col("alerts"), 4).alias(f"pct_{name}") for a, name in enumerate(ACTION_NAMES)],
-        (r >= recall_floor).alias("recall_OK"),
+        F.round("cot", 2).alias(named["cost"]),
+        F.round(F.col("cot") / F.col("alerts"), 4).alias(named["cost_per_alert"]),
+        F.round(r, 4).alias(named["recall"]),
+        F.round(p, 4).alias(named["precision"]),
+        F.round(f1, 4).alias(named["f1"]),
+        *[F.round(F.col(f"n_{a}") / F.col("alerts"), 4).alias(named["share_prefix"] + name) for a, name in enumerate(ACTION_NAMES)],
+        (r >= recall_floor).alias(named["recall_ok"]),
     )
 
 
@@ -217,6 +219,20 @@ def savings_vs_baseline(report: DataFrame, baseline: str = "escalate_all") -> Da
     )
 
 
+def policy_overfit(report: DataFrame, split: str = "split") -> DataFrame:
+    """Cost per alert and recall of each policy on validation and test, and what they gain or lose on test."""
+    named = {"cost": SCORECARD_COLUMNS["cost_per_alert"], "recall": SCORECARD_COLUMNS["recall"]}
+    sides = [
+        F.max(F.when(F.col(split) == s, F.col(c))).alias(f"{n}_{s}") for n, c in named.items() for s in ("val", "test")
+    ]
+    both = report.groupBy("policy").agg(*sides)
+    return both.select(
+        "*",
+        F.round(F.col("cost_test") - F.col("cost_val"), 4).alias("cost_delta"),
+        F.round(F.col("recall_test") - F.col("recall_val"), 4).alias("recall_delta"),
+    )
+
+
 def best_valid_policy(report: DataFrame) -> DataFrame:
     """Cheapest policy that keeps the recall floor; no row if there is none."""
     return report.filter("recall_OK").orderBy("COT", "policy").limit(1)

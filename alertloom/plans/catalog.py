@@ -10,12 +10,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertloom.functions import expressions as fx
 from alertloom.operators import distribution, learning, metrics, models, ordered, prepare, profile, triage
-from alertloom.operators.small import small_side
 from alertloom.params import (
     CATEGORICAL,
     CLASSES,
@@ -25,6 +24,7 @@ from alertloom.params import (
     LABELS,
     NORMAL_INDEX,
     NUMERIC_FEATURES,
+    PROFILED,
     RAW_COLUMNS,
 )
 from alertloom.session import scratch_path, spread
@@ -35,19 +35,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LINEITEM_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-PROFILED = (
-    "duration",
-    "src_bytes",
-    "dst_bytes",
-    "num_failed_logins",
-    "num_root",
-    "serror_rate",
-    "rerror_rate",
-    "same_srv_rate",
-    "diff_srv_rate",
-    "dst_host_srv_count",
-    "dst_host_serror_rate",
-)
 
 
 def query(fn: Query) -> Query:
@@ -101,8 +88,8 @@ def fitted(spark: SparkSession, sf: str):
 
 
 def learned_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Learned action values: a fitted table of 180 rows, computed once per call."""
-    return small_side(learning.learn_policy(tables.alerts(spark, sf)))
+    """Action values learned from the training alerts: a fitted table of 180 rows."""
+    return learning.learn_policy(alert_split(spark, sf).filter("split = 'train'"))
 
 
 def class_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -139,7 +126,7 @@ def scan_csv_positional(spark, sf):
 
 @query
 def scan_parquet(spark, sf):
-    return tables.read_table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag")
+    return tables.read_table(spark, sf, "lineitem")
 
 
 @query
@@ -494,7 +481,7 @@ def score_histogram(spark, sf):
 
 @query
 def action_mix_by_class(spark, sf):
-    return triage.action_mix_by_class(tables.alerts(spark, sf), learned_q(spark, sf))
+    return triage.action_mix_by_class(alert_split(spark, sf).filter("split = 'val'"), learned_q(spark, sf))
 
 
 @query
@@ -504,8 +491,9 @@ def policy_grid(spark, sf):
 
 @query
 def epoch_history(spark, sf):
-    decided = argmax_decisions(spark, sf).withColumnRenamed("action", "greedy")
-    return rounded(learning.epoch_history(decided, epochs=15), ["recall", "epsilon"])
+    train = alert_split(spark, sf).filter("split = 'train'")
+    values = learning.batch_td_epochs(learning.mdp_estimate(learning.transitions(train)), 15)
+    return rounded(learning.epoch_history(train, values, epochs=15), ["recall", "epsilon"])
 
 
 @query
@@ -562,11 +550,8 @@ def seeded_shuffle(spark, sf):
 
 @query
 def union_class_parts(spark, sf):
-    # stored by class, so each part reads its own files only
-    path = scratch_path(spark, "by-class")
-    sinks.write_parquet(tables.labelled_records(spark, sf).select("record_id", LABEL_COL), path, [LABEL_COL])
-    stored = spark.read.parquet(path)
-    return prepare.union_parts([prepare.filter_class(stored, c) for c in CLASSES])
+    records = tables.labelled_records(spark, sf).select("record_id", LABEL_COL)
+    return prepare.union_parts([prepare.filter_class(records, c) for c in CLASSES])
 
 
 @query
@@ -642,35 +627,55 @@ def feature_pipeline(spark, sf):
 
 
 def _model_data(spark, sf):
-    """(features of train with weights and folds, features of test)."""
+    """(features of train with weights and folds, features of all splits, fitted pipeline, clean records).
+
+    Weights come from the class counts of the raw training rows, before the assembler drops any.
+    """
     model, data = fitted(spark, sf)
     out = prepare.transform_features(model, data, keep=["record_id", "split"])
     rows = spark.read.parquet(sinks.write_parquet(out, scratch_path(spark, "features"), ["split"]))
-    train = rows.filter("split = 'train'")
-    weights = prepare.class_weight_map(prepare.class_weights(train))
-    return prepare.attach_class_weight(train, weights), rows.filter("split = 'test'"), model, data
+    weights = prepare.class_weights(data.filter("split = 'train'"))
+    by_index = prepare.class_weight_map(weights, labels=prepare.fitted_labels(model))
+    train = prepare.attach_class_weight(rows.filter("split = 'train'"), by_index)
+    return train, rows, model, data
+
+
+# the published grids (the defaults of the fitting functions) and folds
+FOREST_SEARCH = {"folds": DEFAULTS.rf_folds}
+BOOSTED_SEARCH = {"folds": DEFAULTS.gbt_folds}
+
+
+def _forest(spark, sf):
+    train, rows, model, data = _model_data(spark, sf)
+    train = prepare.kfold_assignment(train, "record_id", FOREST_SEARCH["folds"])
+    best = models.fit_random_forest(train, fold_col="fold", **FOREST_SEARCH)
+    return best, rows, model, data
+
+
+def _boosted(spark, sf):
+    train, rows, model, data = _model_data(spark, sf)
+    train = prepare.kfold_assignment(train, "record_id", BOOSTED_SEARCH["folds"])
+    best = models.fit_gbt_one_vs_rest(train, fold_col="fold", parallelism=4, **BOOSTED_SEARCH)
+    return best, rows, model, data
 
 
 @query
 def rf_predict(spark, sf):
-    train, test, _, _ = _model_data(spark, sf)
-    train = prepare.kfold_assignment(train, "record_id", 2)
-    best = models.fit_random_forest(train, trees=[5, 10], depths=[5], folds=2, fold_col="fold")
-    return triage.extract_predictions(best.transform(test), keep=["record_id"])
+    best, rows, model, _ = _forest(spark, sf)
+    labels = prepare.fitted_labels(model)
+    return triage.extract_predictions(best.transform(rows), keep=["record_id", "split"], labels=labels)
 
 
 @query
 def gbt_ovr_predict(spark, sf):
-    train, test, _, _ = _model_data(spark, sf)
-    best = models.fit_gbt_one_vs_rest(train, iterations=[2, 3], depths=[3], folds=2, parallelism=4)
-    return best.transform(test).select("record_id", LABEL_COL, F.col("prediction").cast("int").alias("predicted_class"))
+    best, rows, _, _ = _boosted(spark, sf)
+    predicted = F.col("prediction").cast("int").alias("predicted_class")
+    return best.transform(rows).select("record_id", "split", LABEL_COL, predicted)
 
 
 @query
 def feature_importance(spark, sf):
-    train, _, pipeline, data = _model_data(spark, sf)
-    train = prepare.kfold_assignment(train, "record_id", 2)
-    best = models.fit_random_forest(train, trees=[10], depths=[5], folds=2, fold_col="fold")
+    best, _, pipeline, data = _forest(spark, sf)
     return models.feature_importance(best, pipeline.transform(data))
 
 
@@ -735,8 +740,8 @@ def batch_td_epoch(spark, sf):
 def epsilon_schedule(spark, sf):
     # one epoch per day of events
     days = tables.read_table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    epochs = days.withColumn("epoch", F.dayofmonth("day"))
-    return rounded(epochs.select("day", "n", "epoch", fx.epsilon_after("epoch").alias("epsilon")), ["epsilon"])
+    epochs = days.withColumn("epoch", F.row_number().over(Window.orderBy("day")))
+    return rounded(learning.epsilon_schedule(epochs), ["epsilon"])
 
 
 # --- streaming ----------------------------------------------------------------------------------------------------------
@@ -780,8 +785,9 @@ def stream_fp_rate(spark, sf):
 
 @query
 def stream_window_reset(spark, sf):
-    # a new episode every ten days
-    episodes = _argmax_stream(spark, sf).withColumn("episode_id", F.floor((F.dayofmonth("ts") - 1) / 10))
+    # a new episode every ten days, numbered from the first day of the calendar
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    episodes = _argmax_stream(spark, sf).withColumn("episode_id", F.floor(day / 10))
     out = _streamed(spark, stream.stream_decisions(episodes))
     return rounded(out, ["fp_rate_before"]).select("alert_id", "kept", "fp_rate_before")
 
@@ -803,14 +809,26 @@ def batch_triage(spark, sf):
     )
 
 
+def _held_out_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions on the alerts not learned from, per policy and split; the learned policy is fed by its own actions."""
+    held = alert_split(spark, sf).filter("split <> 'train'")
+    acted = triage.with_choices(held, learned_q(spark, sf))
+    decided = prepare.stratified_split(stream.batch_decisions(acted, keys=("split", "stream_id")), "alert_id")
+    learned = triage.action_counts(decided, "q_learning", ["split"])
+    return triage.policy_counts(held, triage.baseline_policies(), ["split"]).unionByName(learned)
+
+
 @query
 def agent_scorecard(spark, sf):
-    """Scorecard of the learned policy next to the baselines, its context fed by its own actions."""
-    a = tables.alerts(spark, sf)
-    acted = triage.with_choices(a, learned_q(spark, sf))
-    decided = stream.batch_decisions(acted).select("alert_id", "action").join(a.select("alert_id", "true_label"), "alert_id")
-    counts = triage.policy_counts(a, triage.baseline_policies()).unionByName(triage.action_counts(decided, "q_learning"))
-    return triage.scorecard(counts)
+    """Scorecard of the learned policy next to the baselines, on validation and test."""
+    return triage.scorecard(_held_out_counts(spark, sf), ["policy", "split"])
+
+
+@query
+def policy_overfit_check(spark, sf):
+    """Change of cost per alert and recall from validation to test, per policy."""
+    card = triage.scorecard(_held_out_counts(spark, sf), ["policy", "split"])
+    return triage.policy_overfit(card)
 
 
 @query

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from alertloom.params import (
     ACTION_NAMES,
+    ATTACK_CATEGORIES,
     CATEGORICAL,
     CLASSES,
     DEFAULTS,
@@ -15,10 +16,10 @@ from alertloom.params import (
     LABELS,
     LEAK_COLUMNS,
     NUMERIC_FEATURES,
+    PROFILED,
     RAW_COLUMNS,
-    attack_category_items,
 )
-from alertloom.plans.catalog import LINEITEM_NUMBERS, N_SLOTS, ONE_HOT_SLOTS, PROFILED
+from alertloom.plans.catalog import LINEITEM_NUMBERS, N_SLOTS, ONE_HOT_SLOTS
 from alertloom.sources.tables import EVENT_CLASS, record_rule
 
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
@@ -112,7 +113,7 @@ AFTER = "99 PRECEDING AND CURRENT ROW"
 RATED = f"rated AS (SELECT *, {rate_over(BEFORE)} AS fp_before, {rate_over(AFTER)} AS fp_after FROM decided)"
 
 _mapped: dict[str, list[str]] = {}
-for _type, _category in attack_category_items():
+for _type, _category in ATTACK_CATEGORIES.items():
     _mapped.setdefault(_category, []).append(_type)
 CATEGORY = (
     "CASE "
@@ -181,13 +182,18 @@ CARD = "card AS (" + _scorecard("policy", "acted") + ")"
 
 # --- learned values -----------------------------------------------------------------
 
-TRANS = f"""
-explored AS (SELECT *, {random_action(chr(39) + 'step0' + chr(39))} AS action FROM alerts),
+def _transitions(where: str) -> str:
+    return f"""
+explored AS (SELECT *, {random_action(chr(39) + 'step0' + chr(39))} AS action FROM alerts WHERE {where}),
 watched AS (SELECT *, {rate_over(BEFORE)} AS fp_before, {rate_over(AFTER)} AS fp_after FROM explored),
 trans AS MATERIALIZED (
   SELECT alert_id, stream_id, {state('predicted_class', 'predicted_proba', 'fp_before')} AS state, action,
          {reward('action', 'true_label')} AS reward, {state('predicted_class', 'predicted_proba', 'fp_after')} AS next_state
   FROM watched)"""
+
+
+TRANS = _transitions("true")
+TRAIN = _transitions("split = 'train'")
 MDP = """
 mdp AS MATERIALIZED (
   SELECT state, action, next_state, count(*) AS n,
@@ -235,7 +241,7 @@ def _unpivot(source: str, where: str, extra: str = "") -> str:
 
 
 QTAB = [
-    TRANS,
+    TRAIN,
     MDP,
     CHAINS,
     _walk_values("walk", 50, None),
@@ -252,24 +258,40 @@ _RATE = (
     "CASE WHEN length(replace(codes, '0', '')) > 0 THEN (length(codes) - length(replace(codes, '2', '')))::DOUBLE "
     "/ length(replace(codes, '0', '')) ELSE 0.0::DOUBLE END"
 )
-FEEDBACK = [
-    *QTAB,
-    f"""lined AS MATERIALIZED (
-  SELECT a.alert_id, a.stream_id, a.true_label, row_number() OVER (PARTITION BY a.stream_id ORDER BY ts, a.alert_id) AS rn,
+
+
+def _feedback(group: str, where: str) -> list[str]:
+    """Sequential walk of the alerts of each group."""
+    return [
+        *QTAB,
+        f"""lined AS MATERIALIZED (
+  SELECT a.alert_id, a.stream_id, a.split, a.true_label, {group} AS grp,
+         row_number() OVER (PARTITION BY {group} ORDER BY ts, a.alert_id) AS rn,
          g0.best AS c0, g1.best AS c1, g2.best AS c2
   FROM alerts a
   JOIN greedy g0 ON g0.state = predicted_class * 12 + {conf('predicted_proba')} * 3
-  JOIN greedy g1 ON g1.state = g0.state + 1 JOIN greedy g2 ON g2.state = g0.state + 2)""",
-    f"""steps AS (
-  SELECT DISTINCT stream_id, 0::BIGINT AS rn, NULL::BIGINT AS alert_id, NULL::DOUBLE AS rate, NULL::INTEGER AS action, '' AS codes
+  JOIN greedy g1 ON g1.state = g0.state + 1 JOIN greedy g2 ON g2.state = g0.state + 2 WHERE {where})""",
+        f"""steps AS (
+  SELECT DISTINCT grp, NULL::BIGINT AS stream_id, 0::BIGINT AS rn, NULL::BIGINT AS alert_id, NULL::DOUBLE AS rate,
+         NULL::INTEGER AS action, '' AS codes
   FROM lined
   UNION ALL
-  SELECT stream_id, rn, alert_id, rate, action,
+  SELECT grp, stream_id, rn, alert_id, rate, action,
          right(codes || CASE WHEN action <> 2 THEN '0' WHEN true_label = 'Normal' THEN '2' ELSE '1' END, 100)
-  FROM (SELECT l.stream_id, l.rn, l.alert_id, l.true_label, s.rate, s.codes,
+  FROM (SELECT l.grp, l.stream_id, l.rn, l.alert_id, l.true_label, s.rate, s.codes,
                CASE {fpb('s.rate')} WHEN 0 THEN l.c0 WHEN 1 THEN l.c1 ELSE l.c2 END AS action
-        FROM (SELECT stream_id, rn, codes, {_RATE} AS rate FROM steps) s
-        JOIN lined l ON l.stream_id = s.stream_id AND l.rn = s.rn + 1))""",
+        FROM (SELECT grp, rn, codes, {_RATE} AS rate FROM steps) s
+        JOIN lined l ON l.grp = s.grp AND l.rn = s.rn + 1))""",
+    ]
+
+
+FEEDBACK = _feedback("a.stream_id::VARCHAR", "true")
+HELD_OUT = [
+    ACTED,
+    *_feedback("a.split || a.stream_id", "a.split <> 'train'"),
+    "every AS (SELECT policy, split, true_label, action FROM acted WHERE split <> 'train' UNION ALL "
+    "SELECT 'q_learning', alerts.split, true_label, steps.action "
+    "FROM steps JOIN alerts ON alerts.alert_id = steps.alert_id WHERE rn > 0)",
 ]
 
 
@@ -352,7 +374,7 @@ PROFILE_NUMERIC = [c for c in FEATURE_COLUMNS if c not in CATEGORICAL]
 ORACLES: dict[str, str] = {
     # sources and sinks
     "scan_csv_positional": over_records(f"SELECT {columns([*RAW_NAMES, 'attack_category'])} FROM records"),
-    "scan_parquet": "SELECT l_orderkey, l_extendedprice, l_returnflag FROM lineitem",
+    "scan_parquet": "SELECT * FROM lineitem",
     "sink_parquet_roundtrip": over_records(
         f"SELECT record_id, {columns([*FEATURE_COLUMNS, 'attack_category'])} FROM records"
     ),
@@ -603,7 +625,7 @@ ORACLES: dict[str, str] = {
     "action_mix_by_class": over_alerts(
         "SELECT predicted_label, count(*) AS n, "
         + ", ".join(f'round(count(*) FILTER (best = {a})::DOUBLE / count(*), 4) AS "pct_{nm}"' for a, nm in enumerate(ACTION_NAMES))
-        + f" FROM (SELECT *, {state('predicted_class', 'predicted_proba', '0.0')} AS state FROM alerts) s "
+        + f" FROM (SELECT *, {state('predicted_class', 'predicted_proba', '0.0')} AS state FROM alerts WHERE split = 'val') s "
         "JOIN greedy ON greedy.state = s.state GROUP BY predicted_label",
         *QTAB,
     ),
@@ -618,10 +640,23 @@ ORACLES: dict[str, str] = {
         f"SELECT epoch, sum(-{reward('act', 'true_label')}) AS cot, "
         "CASE WHEN count(*) FILTER (true_label <> 'Normal') > 0 THEN count(*) FILTER (act = 2 AND true_label <> 'Normal')::DOUBLE / "
         "count(*) FILTER (true_label <> 'Normal') ELSE 1.0 END::DOUBLE AS rc FROM ("
-        f"SELECT e.epoch::INTEGER AS epoch, true_label, CASE WHEN {draw('alert_id', chr(39) + 'step' + chr(39) + '||e.epoch')} < "
-        f"greatest(0.05, pow(0.995, e.epoch - 1)) THEN {random_action(chr(39) + 'step' + chr(39) + '||e.epoch')} "
-        "ELSE action END AS act FROM decided CROSS JOIN range(1, 16) e(epoch)) GROUP BY epoch)",
-        DECIDED,
+        f"SELECT w.epoch::INTEGER AS epoch, true_label, CASE WHEN {draw('alert_id', chr(39) + 'step' + chr(39) + '||w.epoch')} < "
+        "greatest(0.05, pow(0.995, w.epoch - 1)) THEN w.action ELSE coalesce(b.best, 0) END AS act FROM explored_state w "
+        "LEFT JOIN best_after b ON b.epoch = w.epoch AND b.state = w.state) GROUP BY epoch)",
+        TRAIN,
+        MDP,
+        CHAINS,
+        _walk_values("tdwalk", 15, DEFAULTS.alpha),
+        f"tdvalues AS ({_unpivot('tdwalk', 'k > 0', 'k + 1 AS epoch, ')})",
+        "best_after AS (SELECT epoch, state, CASE WHEN q0 >= q1 AND q0 >= q2 THEN 0 WHEN q1 >= q2 THEN 1 ELSE 2 END AS best FROM ("
+        "SELECT epoch, state, max(q) FILTER (action = 0) AS q0, max(q) FILTER (action = 1) AS q1, max(q) FILTER (action = 2) AS q2 "
+        "FROM tdvalues GROUP BY epoch, state))",
+        "repeated AS (SELECT a.*, e.epoch, "
+        + random_action(chr(39) + "step" + chr(39) + "||e.epoch")
+        + " AS action FROM alerts a CROSS JOIN range(1, 16) e(epoch) WHERE split = 'train')",
+        "explored_state AS (SELECT *, "
+        + state("predicted_class", "predicted_proba", "before")
+        + f" AS state FROM (SELECT *, {rate_over(BEFORE, 'PARTITION BY epoch, stream_id')} AS before FROM repeated))",
     ),
     "split_class_pivot": over_records(
         "SELECT attack_category, "
@@ -710,9 +745,8 @@ ORACLES: dict[str, str] = {
         CHAINS,
         _walk_values("tdwalk", 15, DEFAULTS.alpha),
     ),
-    "epsilon_schedule": "SELECT ts::DATE AS day, count(*) AS n, day(ts::DATE)::INTEGER AS epoch, "
-    + r("greatest(0.05, pow(0.995, day(ts::DATE)))")
-    + " AS epsilon FROM events GROUP BY ts::DATE",
+    "epsilon_schedule": f"SELECT day, n, epoch, {r('greatest(0.05, pow(0.995, epoch))')} AS epsilon FROM (SELECT ts::DATE AS day, "
+    "count(*) AS n, (row_number() OVER (ORDER BY ts::DATE))::INTEGER AS epoch FROM events GROUP BY ts::DATE)",
     # streaming
     "stream_last_n": over_alerts(
         "SELECT alert_id, stream_id, least(row_number() OVER (PARTITION BY stream_id ORDER BY ts, alert_id), 100)::INTEGER AS kept FROM alerts"
@@ -725,7 +759,7 @@ ORACLES: dict[str, str] = {
         + r(rate_over(BEFORE, "PARTITION BY stream_id, episode"))
         + " AS fp_rate_before FROM d2",
         DECIDED,
-        "d2 AS (SELECT *, (day(ts) - 1) // 10 AS episode FROM decided)",
+        "d2 AS (SELECT *, (ts::DATE - DATE '1970-01-01') // 10 AS episode FROM decided)",
     ),
     "stream_scorecard": over_alerts("SELECT * FROM card", ACTED, CARD),
     "stream_triage": over_alerts(
@@ -734,11 +768,16 @@ ORACLES: dict[str, str] = {
     "batch_triage": over_alerts(
         f"SELECT alert_id, stream_id, {r('rate')} AS fp_rate_before, action FROM steps WHERE rn > 0", *FEEDBACK
     ),
-    "agent_scorecard": over_alerts(
-        _scorecard("policy", "every"),
-        ACTED,
-        *FEEDBACK,
-        "every AS (SELECT policy, true_label, action FROM acted UNION ALL SELECT 'q_learning', true_label, steps.action "
-        "FROM steps JOIN alerts ON alerts.alert_id = steps.alert_id WHERE rn > 0)",
+    "agent_scorecard": over_alerts(_scorecard("policy, split", "every"), *HELD_OUT),
+    "policy_overfit_check": over_alerts(
+        'SELECT *, round(cost_test - cost_val, 4) AS cost_delta, round(recall_test - recall_val, 4) AS recall_delta FROM (SELECT policy, '
+        + ", ".join(
+            f"max({c}) FILTER (split = '{s}') AS {n}_{s}"
+            for n, c in (("cost", '"COT_por_alerta"'), ("recall", "recall_sistema"))
+            for s in ("val", "test")
+        )
+        + " FROM rated_policies GROUP BY policy)",
+        *HELD_OUT,
+        "rated_policies AS (" + _scorecard("policy, split", "every") + ")",
     ),
 }

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch paths by owner, innermost last.
+_owners: list[list[str]] = []
+
 
 def build_session(app: str = "alertloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution on and UTC timestamps; ``conf`` overrides."""
@@ -51,18 +56,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """New path below the shared folder, removed with its owner (``owned_scratch``) if there is one."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialize in the shared folder and cut the lineage.
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes on exit what was written to scratch paths inside.
 
-    Needed wherever two branches must see the very same rows in the very same
-    partitions; the copy survives the loss of executors.
+    Results are lazy and read those files, so consume them before leaving.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    _owners.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _owners.pop():
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -18,15 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from alertloom.operators.ordered import ordered_chunks
+from alertloom.operators.ordered import CHUNK_ROWS, positioned
 from alertloom.params import DEFAULTS, ESCALATE, FP_RATE_CUTS, N_FP, NORMAL
+from alertloom.session import scratch_path
 
 # Executors need not have this package: its functions are sent by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHOICES = [f"choice_{b}" for b in range(N_FP)]
 DECISION_SCHEMA = (
-    "alert_id bigint, stream_id bigint, kept int, fp_rate_before double, fp_rate_after double, action int"
+    "alert_id bigint, stream_id bigint, true_label string, kept int, fp_rate_before double, fp_rate_after double, action int"
 )
 STATE_SCHEMA = "episode bigint, codes string"
 
@@ -83,6 +84,7 @@ def _decide(rows: pd.DataFrame, window: DecisionWindow) -> pd.DataFrame:
         {
             "alert_id": rows["alert_id"].to_numpy(),
             "stream_id": rows["stream_id"].to_numpy(),
+            "true_label": rows["true_label"].to_numpy(),
             "kept": pd.array(kept, dtype="int32"),
             "fp_rate_before": before,
             "fp_rate_after": after,
@@ -168,86 +170,129 @@ def run_to_memory(df: DataFrame, name: str, checkpoint: str) -> DataFrame:
 
 # --- batch -----------------------------------------------------------------------------------
 
+#: Windows from which a chunk is walked before its own is known: empty, and one for each higher bucket.
+SUPPOSED = ("", *[(ESCALATED_NORMAL * 2 + ESCALATED_ATTACK * 8), ESCALATED_NORMAL])
+WALKED_SCHEMA = "_key string, _chunk bigint, start string, end string"
+
 
 def batch_decisions(
     df: DataFrame,
     window: int = DEFAULTS.window,
-    chunks: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
     keys: Sequence[str] = ("stream_id",),
 ) -> DataFrame:
     """The same decisions for a bounded table, parallel within a stream as well.
 
-    Rows are range partitioned by stream and time, and every chunk is walked from
-    the window it inherits from the chunk before. That window is not known at
-    first: all chunks start from an empty one, then those whose inherited window
-    turned out different are walked again, until none changes. The result is then
-    the sequential one: the first chunk is right, and each next one was walked
-    from the end of its predecessor. Because a window forgets after ``window``
-    decisions two rounds are usual. Chunks stream through Arrow batches, so memory
-    does not depend on their size; the driver holds one window text per chunk.
+    A stream is cut into chunks of equal length by position, and a chunk must be
+    walked from the window the chunk before ends with. Which one that is depends
+    on all before, but only few windows are possible: every chunk is first walked
+    from one supposed window per false-positive bucket, next from all windows the
+    chunk before was seen to end with, until no new ones turn up. Walks that come
+    to the same window go on as one, so they cost little more than one walk, and
+    as a window forgets after ``window`` decisions they nearly always do: then
+    the second round finds nothing new and all chunks are done, whatever their
+    number. Only walks that never meet, chunk after chunk, make more rounds (at
+    worst one per chunk). The ends of each chunk then form a table from start to
+    end, which is followed along each stream: one row per chunk and window.
     """
-    order = [*keys, "ts", "alert_id"]
-    stream = F.col(keys[0]) if keys else F.lit(0)
-    rows = ordered_chunks(
-        df.select("alert_id", "stream_id", "ts", "true_label", *CHOICES).withColumn("_key", stream.cast("bigint")),
-        order,
-        chunks,
-        window,
-    )
-
-    inherited: dict[int, tuple[int, str]] = {}
-    ends: dict[int, tuple[int, int, str]] = {}
-    pending: set[int] | None = None
-    while pending is None or pending:
-        todo = rows if pending is None else rows.filter(F.col("_chunk").isin(sorted(pending)))
-        walked = todo.mapInPandas(_tail_walker(dict(inherited), window), "_chunk int, first bigint, last bigint, codes string")
-        for r in walked.collect():
-            ends[r["_chunk"]] = (r["first"], r["last"], r["codes"])
-        pending = set()
-        chain = sorted(ends)
-        for previous, chunk in zip(chain, chain[1:]):
-            _, last, codes = ends[previous]
-            start = (last, codes) if last == ends[chunk][0] else (ends[chunk][0], "")
-            if start != inherited.get(chunk, (ends[chunk][0], "")):
-                inherited[chunk] = start
-                pending.add(chunk)
-    return rows.mapInPandas(_decision_walker(dict(inherited), window), DECISION_SCHEMA)
-
-
-def _runs(batches: Iterator[pd.DataFrame], inherited, size: int):
-    """Split sorted batches at key changes and carry the window along."""
-    key, win = None, None
+    needed = dict.fromkeys(["alert_id", "stream_id", "ts", "true_label", *keys, *CHOICES])
+    rows = positioned(df.select(*needed), keys, ["ts", "alert_id"])
+    size = max(chunk_rows, window)
+    rows = rows.withColumn("_key", F.to_json("_key")).withColumn("_chunk", F.floor(F.col("_pos") / size))
+    rows = _stored(rows.select("_key", "_chunk", "_pos", "alert_id", "stream_id", "true_label", *CHOICES), "chunks")
+    chunks = _stored(rows.select("_key", "_chunk").distinct(), "chunk-names")
+
+    repeated = [(c * window)[:window] for c in SUPPOSED]
+    first = F.when(F.col("_chunk") == 0, F.array(F.lit(""))).otherwise(F.array(*map(F.lit, repeated)))
+    starts = chunks.withColumn("starts", first)
+    walked = None
+    while True:
+        found = _marked(rows, starts, size).mapInPandas(_walker(window), WALKED_SCHEMA)
+        walked = _stored(found if walked is None else walked.unionByName(found), "walked")
+        ends = walked.select("_key", (F.col("_chunk") + 1).alias("_chunk"), F.col("end").alias("start")).distinct()
+        new = ends.join(chunks, ["_key", "_chunk"]).join(walked, ["_key", "_chunk", "start"], "left_anti")
+        starts = _stored(new.groupBy("_key", "_chunk").agg(F.collect_set("start").alias("starts")), "starts")
+        if starts.isEmpty():
+            break
+
+    def follow(frame: pd.DataFrame) -> pd.DataFrame:
+        ends = {(c, s): e for c, s, e in zip(frame["_chunk"], frame["start"], frame["end"], strict=True)}
+        out, at = [], ""
+        for chunk in sorted(set(frame["_chunk"])):
+            out.append((frame["_key"].iloc[0], chunk, [at]))
+            at = ends[chunk, at]
+        return pd.DataFrame(out, columns=["_key", "_chunk", "starts"])
+
+    known = walked.groupBy("_key").applyInPandas(follow, "_key string, _chunk bigint, starts array<string>")
+    return _marked(rows, known, size).mapInPandas(_decision_walker(window), DECISION_SCHEMA)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _marked(rows: DataFrame, starts: DataFrame, size: int) -> DataFrame:
+    """Chunks that have starts, in order, each led by a row that holds its starts."""
+    wanted = rows.join(starts.select("_key", "_chunk"), ["_key", "_chunk"], "left_semi")
+    # no nulls in whole numbers, which pandas would turn into floats
+    blank = {c: F.lit(0).cast(rows.schema[c].dataType) for c in ("alert_id", "stream_id", *CHOICES)}
+    leads = starts.withColumns({"_pos": F.col("_chunk") * size - 1, **blank})
+    both = wanted.unionByName(leads, allowMissingColumns=True)
+    return both.repartition("_key", "_chunk").sortWithinPartitions("_key", "_chunk", "_pos")
+
+
+def _runs(batches: Iterator[pd.DataFrame]):
+    """(starts, None) at the head of a chunk, then (None, rows) for its parts."""
     for batch in batches:
-        if batch.empty:
-            continue
-        runs = (batch["_key"] != batch["_key"].shift()).cumsum()
-        for _, run in batch.groupby(runs, sort=False):
-            current = int(run["_key"].iloc[0])
-            if current != key:
-                first = key is None
-                start = inherited.get(int(run["_chunk"].iloc[0])) if first else None
-                win = DecisionWindow(size, start[1] if start and start[0] == current else "")
-                key = current
-            yield run, win
-
-
-def _tail_walker(inherited, size: int):
+        heads = batch["starts"].notna().to_numpy()
+        edges = sorted({0, len(batch), *[i + d for i in heads.nonzero()[0].tolist() for d in (0, 1)]})
+        for a, b in zip(edges, edges[1:]):
+            part = batch.iloc[a:b]
+            yield (part.iloc[0], None) if heads[a] else (None, part)
+
+
+def _walker(size: int):
+    """Ends of every chunk for its starts. Walks are compared every ``size`` rows and go on as one when equal."""
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = None
-        for run, win in _runs(batches, inherited, size):
-            _decide(run, win)
-            first = end[1] if end else int(run["_key"].iloc[0])
-            end = (int(run["_chunk"].iloc[0]), first, int(run["_key"].iloc[0]), win)
-        if end:
-            chunk, first, last, win = end
-            yield pd.DataFrame({"_chunk": [chunk], "first": [first], "last": [last], "codes": [win.text()]})
+        head, live = None, []
+
+        def ended() -> pd.DataFrame:
+            rows = [(head["_key"], head["_chunk"], start, win.text()) for names, win in live for start in names]
+            return pd.DataFrame(rows, columns=["_key", "_chunk", "start", "end"])
+
+        for lead, rows in _runs(batches):
+            if lead is not None:
+                if head is not None:
+                    yield ended()
+                head, live = lead, [([s], DecisionWindow(size, s)) for s in lead["starts"]]
+                continue
+            choices = [rows[c].tolist() for c in CHOICES]
+            normal = (rows["true_label"] == NORMAL).tolist()
+            for i in range(0, len(normal), size):
+                part = [c[i : i + size] for c in choices]
+                for _, win in live:
+                    _walk(win, part, normal[i : i + size])
+                if len(live) > 1:
+                    met: dict[str, tuple[list[str], DecisionWindow]] = {}
+                    for names, win in live:
+                        met.setdefault(win.text(), ([], win))[0].extend(names)
+                    live = list(met.values())
+        if head is not None:
+            yield ended()
 
     return walk
 
 
-def _decision_walker(inherited, size: int):
+def _decision_walker(size: int):
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run, win in _runs(batches, inherited, size):
-            yield _decide(run, win)
+        win = None
+        for lead, rows in _runs(batches):
+            if lead is not None:
+                win = DecisionWindow(size, lead["starts"][0])
+            else:
+                yield _decide(rows, win)
 
     return walk

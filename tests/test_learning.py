@@ -125,7 +125,19 @@ def test_grid_averages_over_the_false_positive_buckets(spark):
     assert grid[LABELS[0], 0] == 1 and grid[LABELS[1], 0] == 2 and grid[LABELS[4], 3] == 0
 
 
-def test_epoch_history_ends(spark, alerts):
-    out = learning.epoch_history(alerts.withColumn("greedy", F.lit(2)), epochs=3).orderBy("epoch").collect()
+def test_epoch_history_follows_the_values(spark, alerts):
+    mdp = learning.mdp_estimate(learning.transitions(alerts))
+    values = learning.batch_td_epochs(mdp, 3)
+    out = learning.epoch_history(alerts, values, epochs=3).orderBy("epoch").collect()
     assert [r.epoch for r in out] == [1, 2, 3]
+    # the first epoch is all exploration
     assert out[0].epsilon == pytest.approx(0.995) and 0.25 < out[0].recall < 0.42 and not out[0].recall_ok
+    # later the values decide part of the actions: here, always to escalate
+    keen = values.withColumn("q", F.when(F.col("action") == 2, 1.0).otherwise(0.0)).withColumn("epoch", F.lit(59))
+    some = learning.epoch_history(alerts, keen, epochs=60).filter("epoch = 60").first()
+    assert some.recall > out[0].recall
+
+
+def test_epsilon_schedule(spark):
+    rows = learning.epsilon_schedule(spark.createDataFrame([(0,), (10,), (999,)], "epoch int")).orderBy("epoch").collect()
+    assert [r.epsilon for r in rows] == pytest.approx([1.0, 0.995**10, 0.05])

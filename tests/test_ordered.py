@@ -47,26 +47,34 @@ LENGTHS = [0, 1, 100, 101, 250, 1200]
 
 
 @pytest.mark.parametrize("keys", [("stream_id",), ()], ids=["per stream", "global"])
-@pytest.mark.parametrize("chunks", [3, 8, 40])
-def test_chunked_equals_brute_force(spark, keys, chunks):
+@pytest.mark.parametrize("chunk_rows", [100, 130, 100_000])
+def test_equals_brute_force(spark, keys, chunk_rows):
     df = decisions(spark, LENGTHS).cache()
-    expected = brute_force(df.collect(), keys)
-    got = rates(ordered.rolling_fp_rate(df, keys, max_rows_per_key=0, chunks=chunks))
-    assert got == expected and len(got) == sum(LENGTHS)
+    got = rates(ordered.rolling_fp_rate(df, keys, chunk_rows=chunk_rows))
+    assert got == brute_force(df.collect(), keys) and len(got) == sum(LENGTHS)
 
 
-def test_plain_equals_brute_force(spark):
-    df = decisions(spark, LENGTHS).cache()
-    assert rates(ordered.rolling_fp_rate(df)) == brute_force(df.collect(), ("stream_id",))
-
-
-def test_a_hot_stream_takes_the_chunked_plan(spark):
+def test_a_hot_stream_is_cut_and_no_job_is_started(spark):
     df = decisions(spark, [50, 30, 4000, 20]).cache()
-    rated = ordered.rolling_fp_rate(df, max_rows_per_key=500, chunks=16)
-    assert "_chunk" in rated._jdf.queryExecution().executedPlan().toString()
-    assert rates(rated) == brute_force(df.collect(), ("stream_id",))
-    sizes = ordered.ordered_chunks(df, ["stream_id", "ts", "alert_id"], 16).groupBy("_chunk").count().collect()
-    assert max(r["count"] for r in sizes) < 1000  # the hot stream is spread
+    expected = brute_force(df.collect(), ("stream_id",))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    rated = ordered.rolling_fp_rate(df, chunk_rows=500)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert rates(rated) == expected
+    rows = ordered.with_halo(ordered.positioned(df, ["stream_id"], ["ts", "alert_id"]), 100, 500)
+    assert max(r["count"] for r in rows.groupBy("_key", "_chunk").count().collect()) <= 600
+
+
+def test_positions_count_up_within_keys(spark):
+    df = decisions(spark, [7, 0, 900]).unionByName(decisions(spark, [5]).withColumn("stream_id", F.lit(None).cast("long")))
+    for ts in ("timestamp", "timestamp_ntz"):
+        rows = ordered.positioned(df.withColumn("ts", F.col("ts").cast(ts)), ["stream_id"], ["ts", "alert_id"], 10).collect()
+        found = {}
+        for r in sorted(rows, key=lambda r: (str(r.stream_id), r.ts, r.alert_id)):
+            found.setdefault(r.stream_id, []).append(r._pos)
+        assert {k: v == list(range(len(v))) for k, v in found.items()} == {0: True, 2: True, None: True}
 
 
 def test_window_of_one_and_no_history(spark):
@@ -78,5 +86,5 @@ def test_window_of_one_and_no_history(spark):
 
 def test_one_timestamp_for_all_rows(spark):
     df = decisions(spark, [900]).withColumn("ts", F.timestamp_seconds(F.lit(5))).cache()
-    got = rates(ordered.rolling_fp_rate(df, (), chunks=10))
+    got = rates(ordered.rolling_fp_rate(df, (), chunk_rows=100))
     assert got == brute_force(df.collect(), ())

@@ -4,9 +4,9 @@ import checker
 import pytest
 
 import __spark_entry__ as contract
+from alertloom.plans.catalog import QUERIES
+from alertloom.plans.oracle import ORACLES
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 # only these cannot be stated in SQL: fitted trees and principal components
 WITHOUT_SQL = {
     "rf_predict",
@@ -32,6 +32,10 @@ def test_matches_sql(spark, sf_dir, duck, name):
     assert checker.compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
+def test_contract_offers_all():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "policy" and df.count() == 4

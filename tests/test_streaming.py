@@ -54,21 +54,37 @@ def result(df):
 LENGTHS = [0, 1, 100, 101, 250, 1500]
 
 
-@pytest.mark.parametrize("chunks", [1, 7, 60])
-def test_batch_equals_the_loop_whatever_the_chunks(spark, chunks):
+@pytest.mark.parametrize("chunk_rows", [5000, 230, 100])
+def test_batch_equals_the_loop_whatever_the_chunks(spark, chunk_rows):
     df = make(spark, LENGTHS).cache()
-    assert result(stream.batch_decisions(df, chunks=chunks)) == loop(df.collect())
+    assert result(stream.batch_decisions(df, chunk_rows=chunk_rows)) == loop(df.collect())
+
+
+@pytest.mark.parametrize("chunk_rows", [800, 200, 100])
+def test_rounds_do_not_grow_with_the_chunks(spark, monkeypatch, chunk_rows):
+    """A policy that goes on escalating once its rate is high: the window at the start decides all that follows."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("alert_id"), F.lit(1).cast("long").alias("stream_id"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), F.lit(NORMAL).alias("true_label"),
+        F.when(F.col("id") == 1900, 2).otherwise(0).alias("choice_0"), F.lit(2).alias("choice_1"), F.lit(2).alias("choice_2"),
+        F.lit(0).cast("long").alias("episode_id"),
+    ).cache()
+    rounds, plain = [], stream._stored
+    monkeypatch.setattr(stream, "_stored", lambda df, name: rounds.append(name) or plain(df, name))
+    got = result(stream.batch_decisions(rows, chunk_rows=chunk_rows))
+    assert got == loop(rows.collect())
+    assert rounds.count("walked") <= 3
 
 
 def test_batch_over_one_global_order(spark):
     df = make(spark, [300, 500, 40]).cache()
-    got = result(stream.batch_decisions(df, chunks=9, keys=()))
+    got = result(stream.batch_decisions(df, chunk_rows=100, keys=()))
     assert got == loop(df.collect(), keys=())
 
 
 def test_batch_with_a_window_longer_than_the_chunks(spark):
     df = make(spark, [400, 5], seed=11).cache()
-    assert result(stream.batch_decisions(df, window=150, chunks=20)) == loop(df.collect(), window=150)
+    assert result(stream.batch_decisions(df, window=150, chunk_rows=20)) == loop(df.collect(), window=150)
 
 
 def write_batches(df, path, cuts):
