@@ -262,6 +262,6 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(body) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
-                ELSE 25 + length(name) END) AS BIGINT) AS formatted_chars
+                ELSE 24 + length(name) END) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
