@@ -10,7 +10,8 @@ Equal sets are one class, known by a 128-bit digest, from the start. Classes tha
 band share a bucket. Not all pairs of a bucket are made: first each class is compared with the
 least class it shares a bucket with, then with the least of each of its buckets, and last, in
 buckets that still hold several components, the classes outside the largest component with all
-others of other components. Whatever is left out is connected already, so every pair that
+others of other components, inside the join, so that only links
+leave it; parity sketches, an exact bound, rule most of them out first. Whatever is left out is connected already, so every pair that
 shares a bucket is compared or connected, with no cap. Comparisons are exact on full sets of
 64-bit shingle hashes.
 
@@ -34,7 +35,11 @@ from alertloom.llm.components import components
 SHINGLE = 3
 SIMILAR_PERCENT = 85
 BANDS, ROWS = 36, 6
+#: Bits of the parity sketch, and the words that hold them.
+PARITY_BITS = 1024
+PARITY_WORDS = PARITY_BITS // 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+SETS_SCHEMA = "id long, shingles array<long>, odd array<long>"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -108,11 +113,24 @@ def _signed(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterato
         )
 
 
+def parities(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Odd sketch of each set: the parity of its number of shingles in each part of their universe.
+
+    Two sets differ in at least as many shingles as their sketches differ in bits.
+    """
+    n = len(bounds) - 1
+    place = np.repeat(np.arange(n), np.diff(bounds)) * PARITY_BITS + (keys % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n * PARITY_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8").reshape(n, PARITY_WORDS)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in text_chunks(batches):
         keys, bounds = shingles(data, offsets)
         lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["id", "shingles"])
+        words_of = pa.array((np.arange(len(bounds)) * PARITY_WORDS).astype(np.int32))
+        odd = pa.ListArray.from_arrays(words_of, pa.array(parities(keys, bounds).ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, odd], names=["id", "shingles", "odd"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -139,7 +157,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int = SIMILAR_P
     members = stored(members.select("band", "key", "id", "n_shingles", "least"), "buckets")
     ids = members.select("id").distinct()
     texts = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(texts.dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, shingles array<long>"), "shingle-sets")
+    sets = stored(texts.dropDuplicates(["doc_id"]).mapInArrow(_sets, SETS_SCHEMA), "shingle-sets")
 
     def fits(a: str, b: str):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -163,13 +181,25 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int = SIMILAR_P
         F.count("*").alias("k"), F.max(F.struct("n", "root")).getField("root").alias("main")
     )
     split = named.join(several.filter("k > 1").drop("k"), ["band", "key"])
-    outside = split.filter("root <> main").select("band", "key", *[F.col(c).alias(f"_{c}") for c in ("id", "n_shingles", "root")])
+    split = split.join(sets, "id").join(classes.select("id", "bands"), "id")
+    columns = ("id", "n_shingles", "root", "shingles", "odd", "bands")
+    outside = split.filter("root <> main").select("band", "key", *[F.col(c).alias(f"_{c}") for c in columns])
     # two outsiders meet once; everyone else meets each outsider
     once = (F.col("root") == F.col("main")) | (F.col("id") < F.col("_id"))
-    last = split.join(outside, ["band", "key"]).filter((F.col("root") != F.col("_root")) & once & fits("n_shingles", "_n_shingles"))
-    last = last.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
-    last = last.join(pivots, ["a", "b"], "left_anti")
-    return stored(links.unionByName(_verified(last, sets, percent)), "links")
+    # of all buckets that two share, the one of the first band compares them
+    agree = F.zip_with("bands", "_bands", lambda a, b: a == b)
+    first_band = F.array_position(agree, F.lit(True)) == F.col("band") + 1
+    shared = F.size(F.array_intersect("shingles", "_shingles"))
+    # named once: an expression used twice would be computed before the cheap checks
+    similar = (100 + percent) * shared >= percent * (F.col("n_shingles") + F.col("_n_shingles"))
+    # similar sets of sizes a and b differ in (a + b) * (100 - percent) / (100 + percent) shingles at most
+    apart = sum((F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("_odd", F.lit(i)))) for i in range(PARITY_WORDS)), F.lit(0))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n_shingles") + F.col("_n_shingles"))
+    # the sets are compared within the join, so only links leave it
+    checks = (F.col("root") != F.col("_root")) & once & fits("n_shingles", "_n_shingles") & near
+    last = split.join(outside, ["band", "key"]).filter(F.when(checks & first_band, similar).otherwise(False))
+    last = last.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+    return stored(links.unionByName(last), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
