@@ -98,17 +98,21 @@ def label_correlation(df: DataFrame, columns: Sequence[str], label: str = LABEL_
     index is constant within a class. Constant columns are left out.
     """
     numbers = df.filter(F.col(label).isNotNull()).select(label, *[F.col(c).cast("double").alias(c) for c in columns])
-    stats = (
-        numbers.unpivot([label], list(columns), "column", "x")
-        .groupBy(label, "column")
-        .agg(
-            F.count("*").alias("rows"),
-            F.count("x").cast("double").alias("k"),
-            F.avg("x").alias("m"),
-            F.var_pop("x").alias("v"),
-            F.min("x").alias("lo"),
-            F.max("x").alias("hi"),
-        )
+    moments = [
+        F.struct(
+            F.count(c).cast("double").alias("k"),
+            F.avg(c).alias("m"),
+            F.var_pop(c).alias("v"),
+            F.min(c).alias("lo"),
+            F.max(c).alias("hi"),
+        ).alias(c)
+        for c in columns
+    ]
+    per_class = numbers.groupBy(label).agg(F.count("*").alias("_rows"), *moments)
+    # one row per class so far; only those are spread over the columns
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("s")) for c in columns])
+    stats = per_class.select(label, F.col("_rows").alias("rows"), F.explode(cells).alias("c")).select(
+        label, "rows", F.col("c.column").alias("column"), "c.s.*"
     )
     # over classes x columns rows: those of one class are peers
     by_frequency = Window.partitionBy().orderBy(F.desc("rows"), label)

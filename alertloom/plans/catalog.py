@@ -747,18 +747,22 @@ def epsilon_schedule(spark, sf):
 # --- streaming ----------------------------------------------------------------------------------------------------------
 
 
+#: Input of a micro-batch at most; the rows of one stream in one micro-batch are held in memory.
+TRIGGER_BYTES = 64 << 20
+
+
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The alerts view over a streaming read of ``events``."""
     schema = tables.read_table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return tables.alerts_from_events(events)
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxBytesPerTrigger", TRIGGER_BYTES)
+    return tables.alerts_from_events(source.parquet(sf))
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
-    """State is kept per stream and there are 16 of them; a session of its own keeps the setting local."""
+    """A session of its own with the partitions of the given one, as a stream's state keeps the number it began with."""
     session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", str(tables.ALERT_STREAMS))
-    session.conf.set("spark.sql.session.timeZone", "UTC")
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(name, spark.conf.get(name))
     return session
 
 
