@@ -80,7 +80,7 @@ def fit_gbt_one_vs_rest(
 ):
     """One boosted binary classifier per class, chosen by cross-validated weighted F1. Unweighted."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, stepSize=step, cacheNodeIds=True)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
+    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=5)
     grid = ParamGridBuilder().addGrid(gbt.maxIter, list(iterations)).addGrid(gbt.maxDepth, list(depths)).build()
     return _cross_validate(ovr, grid, train, folds, seed, parallelism, fold_col)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import OneVsRestModel, RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -645,18 +646,36 @@ FOREST_SEARCH = {"folds": DEFAULTS.rf_folds}
 BOOSTED_SEARCH = {"folds": DEFAULTS.gbt_folds}
 
 
+# searched models of this session, by kind and table folder: a search takes minutes and several queries use its result
+_SEARCHED: dict[tuple[str, str, str], str] = {}
+
+
+def _searched(spark, sf, kind, loader, fit):
+    """The model of a search, saved once per session and read back for every use."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _SEARCHED or not sinks.exists(spark, _SEARCHED[key]):
+        _SEARCHED[key] = sinks.save_model(fit(), scratch_path(spark, kind))
+    return loader.load(_SEARCHED[key])
+
+
 def _forest(spark, sf):
     train, rows, model, data = _model_data(spark, sf)
     train = prepare.kfold_assignment(train, "record_id", FOREST_SEARCH["folds"])
-    best = models.fit_random_forest(train, fold_col="fold", **FOREST_SEARCH)
-    return best, rows, model, data
+
+    def fit():
+        return models.fit_random_forest(train, fold_col="fold", **FOREST_SEARCH)
+
+    return _searched(spark, sf, "forest", RandomForestClassificationModel, fit), rows, model, data
 
 
 def _boosted(spark, sf):
     train, rows, model, data = _model_data(spark, sf)
     train = prepare.kfold_assignment(train, "record_id", BOOSTED_SEARCH["folds"])
-    best = models.fit_gbt_one_vs_rest(train, fold_col="fold", parallelism=4, **BOOSTED_SEARCH)
-    return best, rows, model, data
+
+    def fit():
+        return models.fit_gbt_one_vs_rest(train, fold_col="fold", parallelism=4, **BOOSTED_SEARCH)
+
+    return _searched(spark, sf, "boosted", OneVsRestModel, fit), rows, model, data
 
 
 @query
@@ -666,6 +685,14 @@ def rf_predict(spark, sf):
     return triage.extract_predictions(best.transform(rows), keep=["record_id", "split"], labels=labels)
 
 
+@query
+def rf_prediction_invariants(spark, sf):
+    """Rows per split and class of the forest's predictions, and how many have a class or probability out of range."""
+    predicted = rf_predict(spark, sf)
+    odd = ~F.col("predicted_class").between(0, len(LABELS) - 1) | ~F.col("predicted_proba").between(1 / len(LABELS), 1.0)
+    return predicted.groupBy("split", "true_label").agg(F.count("*").alias("n"), F.count_if(odd).alias("out_of_range"))
+
+
 @query
 def gbt_ovr_predict(spark, sf):
     best, rows, _, _ = _boosted(spark, sf)

@@ -732,6 +732,13 @@ ORACLES: dict[str, str] = {
     + ", ".join(f"avg({c}) AS a{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(LINEITEM_NUMBERS))
     + " FROM lineitem)",
     "feature_pipeline": FEATURE_SQL,
+    # models
+    "rf_prediction_invariants": over_records(
+        "SELECT split, attack_category AS true_label, count(*) AS n, 0::BIGINT AS out_of_range FROM known WHERE "
+        + " AND ".join(f'"{c}" IS NOT NULL' for c in NUMERIC_FEATURES)
+        + " GROUP BY split, attack_category",
+        KNOWN,
+    ),
     # learning
     "transitions": over_alerts("SELECT * FROM trans", TRANS),
     "mdp_estimate": over_alerts(

@@ -36,6 +36,11 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
