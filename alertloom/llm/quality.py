@@ -1,8 +1,8 @@
 """Quality rules: text statistics of a document, and lines repeated across documents of a host.
 
 Lines are normalised (ASCII lower case, digits as one sign, single spaces) and hashed. A line
-found in more than ``line_limit`` distinct documents of a host is boilerplate there and is
-removed; a document of which too little is left is depleted and rejected.
+found in more than ``LINE_SHARE`` of a host's distinct documents, and in more than
+``LINE_FLOOR`` of them, is boilerplate there and is removed; a document of which too little is left is depleted and rejected.
 
 Texts are read once: a pass in numpy writes statistics and line hashes (no text) to a stored
 table. Counts are summed before the shuffle's end; the few boilerplate lines are joined back to
@@ -24,8 +24,12 @@ from pyspark.sql import functions as F
 
 from alertloom.llm.common import LOWER, mix64, runs_of, span_hash, spans, stored, text_chunks, words
 
-#: Distinct documents of a host that may share a line; words and share of words a document must keep.
-LINE_LIMIT = 100
+#: Share of a host's distinct documents that may hold a line, and documents that always may: a
+#: handful of copies on a small host is no boilerplate. The share makes the verdict independent of
+#: the table's size; the floor decides on hosts of up to LINE_FLOOR / LINE_SHARE = 100 documents.
+LINE_SHARE = 0.05
+LINE_FLOOR = 5
+#: Words and share of words a document must keep.
 LEAST_WORDS_LEFT = 10
 LEAST_SHARE_LEFT = 0.3
 SYMBOLS = b"#*$%&|<>"
@@ -130,17 +134,29 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
     return stored(done.withColumn("row", F.monotonically_increasing_id()), "quality-lines")
 
 
-def frequent_lines(rows: DataFrame, line_limit: int = LINE_LIMIT) -> DataFrame:
-    """``host, line`` of lines in more than ``line_limit`` distinct documents of the host."""
+def frequent_lines(
+    rows: DataFrame, line_limit: int | None = None, line_share: float = LINE_SHARE, line_floor: int = LINE_FLOOR
+) -> DataFrame:
+    """``host, line`` of lines in more distinct documents of the host than its limit.
+
+    The limit is ``line_share`` of the host's distinct documents, ``line_floor`` at least, or the
+    fixed ``line_limit`` if one is given. Most lines fall to the floor before host counts are joined.
+    """
     lines = rows.select("doc_id", "host", F.explode(F.array_distinct("line_hash")).alias("line"))
     once = lines.groupBy("host", "line", "doc_id").agg(F.lit(1).alias("one"))
     counted = once.groupBy("host", "line").agg(F.count("one").alias("documents"))
-    return counted.filter(F.col("documents") > line_limit).select("host", "line")
+    if line_limit is not None:
+        return counted.filter(F.col("documents") > line_limit).select("host", "line")
+    each = rows.groupBy("host", "doc_id").agg(F.lit(1).alias("one"))
+    sizes = each.groupBy(F.col("host").alias("_host")).agg(F.count("one").alias("_size"))
+    near = counted.filter(F.col("documents") > line_floor)
+    sized = near.join(sizes.filter(F.col("_size") > line_floor), near["host"].eqNullSafe(F.col("_host")))
+    return sized.filter(F.col("documents") > line_share * F.col("_size")).select("host", "line")
 
 
 def judged(
     rows: DataFrame,
-    line_limit: int = LINE_LIMIT,
+    line_limit: int | None = None,
     least_words: int = LEAST_WORDS_LEFT,
     least_share: float = LEAST_SHARE_LEFT,
 ) -> DataFrame:

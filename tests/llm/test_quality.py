@@ -32,3 +32,26 @@ def test_repeated_rows_count_once_and_empty(spark):
     rows = quality.measured(df)
     assert quality.frequent_lines(rows, 1).count() == 0
     assert quality.judged(quality.measured(df.limit(0))).count() == 0
+
+
+def test_registered_limits_remove_lines(spark, tmp_path):
+    """With the defaults of the query: boilerplate is judged by its share of a host, at any size."""
+    own = "document {} of this host has a line with these very words of its own {}"
+    sign = "subscribe to our letter today"
+
+    def text(i, marked):
+        return own.format(chr(97 + i % 26) * (i + 1), "z" * (i + 1)) + (f"\n{sign}" if marked else "")
+
+    rows = [(i, text(i, i % 5 == 0), "large") for i in range(300)]
+    rows += [(1000 + i, text(i, i < 8), "small") for i in range(40)]
+    rows += [(2000 + i, text(i, i < 5), "floor") for i in range(40)]
+    rows += [(3000 + i, text(i, i < 15), "rare") for i in range(300)]
+    rows += [(4000 + i, sign + "\nand eight other words are in this page", None) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    measured = quality.measured(df)
+    assert {r.host for r in quality.frequent_lines(measured).collect()} == {"large", "small", None}
+    cut = {r.doc_id for r in quality.judged(measured).collect() if r.removed_words}
+    assert cut == {*range(0, 300, 5), *range(1000, 1008), *range(4000, 4006)}
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r.doc_id: r.kept for r in quality.op7_quality(spark, str(tmp_path)).collect()}
+    assert {i for i, k in kept.items() if not k} == set(range(4000, 4006))
