@@ -55,3 +55,27 @@ def test_registered_limits_remove_lines(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/documents.parquet")
     kept = {r.doc_id: r.kept for r in quality.op7_quality(spark, str(tmp_path)).collect()}
     assert {i for i, k in kept.items() if not k} == set(range(4000, 4006))
+
+
+def test_frequent_lines_are_cut_out_of_texts(spark, docs):
+    own = "a line of words that only this one document has {}"
+    marked = ["Subscribe  NOW 1", own, "", "subscribe now 2 ", "end {}", "subscribe now 3"]
+    rows = [(i, "\n".join(marked).replace("{}", "q" * (i + 1)), "a", "x", 1) for i in range(20)]
+    rows += [(100, "subscribe now 4\nand a line of another host that stays here as it is", "b", "x", 1)]
+    rows += [(200, None, "a", "x", 1), (201, "", None, "x", 1), (5, rows[5][1], "a", "x", 1)]
+    rows += [(300 + i, "Only boilerplate of no host\r\n", None, "x", 1) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string, kept int").repartition(4)
+    want = {i: "\n".join([own, "", "end {}"]).replace("{}", "q" * (i + 1)) for i in range(20)}
+    want |= {100: rows[20][1], 200: None, 201: ""} | {300 + i: "" for i in range(8)}
+    for most in (quality.MOST_SENT, 0):  # sent to workers, or joined
+        found = quality.cleaned(df, most_sent=most).collect()
+        assert len(found) == len(rows)
+        given = {i: t for i, t, *_ in rows}
+        for r in found:
+            assert r.text == want[r.doc_id] and r.extra == "x"
+            assert r.removed_words == len(brute.words(given[r.doc_id])) - len(brute.words(r.text))
+            assert r.n_words == len(brute.words(given[r.doc_id]))
+            assert r.kept == (r.doc_id <= 100)
+        hard = {r.doc_id: r.text for r in quality.cleaned(docs, most_sent=most).collect()}
+        assert hard == {r.doc_id: r.text for r in docs.collect()}
+    assert quality.cleaned(df.limit(0)).count() == 0
