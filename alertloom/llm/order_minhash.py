@@ -1,11 +1,13 @@
 """Document fingerprints by Order MinHash, in DataFrame operations only.
 
 The items of a text are its word k-mers, each numbered among its equals. Every item has one
-hash, whose leading bits name one of ``SLOTS`` sketch functions; within a function the
-``TUPLE`` least items are selected, put back in text order, and hashed as a tuple. Agreement of
-two fingerprints falls with edits and with changes of order, unlike that of sets of items. One
-hash per item serves all functions (each sees its own share of the items), which keeps the
-work linear in the text; a text shorter than that leaves functions empty, which are not counted.
+hash, whose leading bits name the one of ``SLOTS`` sketch functions that is its own. A function
+orders all items: first its own, by their hash, then the others, by a hash mixed anew with the
+function's number. The ``TUPLE`` least items are selected, put back in text order, and hashed as
+a tuple. Agreement of two fingerprints falls with edits and with changes of order, unlike that of
+sets of items. A function with ``TUPLE`` items of its own needs no other hash, which keeps the work
+linear in long texts; only the functions that a short text leaves short of items mix all of its
+items anew. The order depends on item and function alone, so short and long texts compare.
 
 Edited texts need the next document. Documents are dealt into blocks of consecutive ids whose
 bounds are approximate percentiles, found in one aggregate of the id column; the top document
@@ -53,7 +55,9 @@ def _upto(n: Column) -> Column:
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``, an array of ints: the slot in the leading bits, the tuple's hash in the others."""
-    words, items, ordered, chosen = (f"_{out}_{n}" for n in ("words", "items", "ordered", "chosen"))
+    words, items, ordered, chosen, leads, owners = (
+        f"_{out}_{n}" for n in ("words", "items", "ordered", "chosen", "leads", "owners")
+    )
     df = df.withColumn(words, F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)))
     count = F.when(F.size(words) > 0, F.greatest(F.size(words) - (K - 1), F.lit(1))).otherwise(0)
     # a text of fewer than K words is one item; xxhash64 passes over the missing words
@@ -78,22 +82,45 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(ordered, F.when(distinct, F.col(ordered)).otherwise(F.sort_array(F.flatten(run))))
     least = F.filter(ordered, lambda x, j: (j < TUPLE) | (_slot(F.get(ordered, j - TUPLE)) != _slot(x)))
     df = df.withColumn(chosen, least)
-    leads = F.filter(
+    first_own = F.filter(
         _upto(F.size(chosen)),
         lambda j: (j == 0) | (_slot(F.get(chosen, j)) != _slot(F.get(chosen, j - 1))),
     )
-
-    def slot(j: Column) -> Column:
-        first, second = F.get(chosen, j), F.get(chosen, j + 1)
-        place = (1 << PLACE_BITS) - 1
+    df = df.withColumn(leads, first_own).withColumn(owners, F.transform(leads, lambda j: _slot(F.get(chosen, j)).cast("int")))
+    mask = (1 << PLACE_BITS) - 1
+
+    def tupled(first: Column, second: Column) -> Column:
+        swapped = first.bitwiseAND(mask) > second.bitwiseAND(mask)
+        return F.when(swapped, F.xxhash64(_hash(second), _hash(first))).otherwise(F.xxhash64(_hash(first), _hash(second)))
+
+    def anew(f: Column) -> Column:
+        """The two least of all items by the function's other hash."""
+        mixed = F.transform(ordered, lambda x: _item(F.xxhash64(_hash(x), f), x.bitwiseAND(mask)))
+        return F.slice(F.array_sort(mixed), 1, TUPLE)
+
+    def other(f: Column, own: Column) -> Column:
+        """The least item by the function's other hash that is not ``own``."""
+        mixed = F.transform(
+            F.filter(ordered, lambda x: x != own), lambda x: _item(F.xxhash64(_hash(x), f), x.bitwiseAND(mask))
+        )
+        return F.array_min(mixed)
+
+    def slot(f: Column) -> Column:
+        at = F.get(leads, F.array_position(owners, f).cast("int") - 1)
+        first, second = F.get(chosen, at), F.get(chosen, at + 1)
         paired = F.coalesce(_slot(first) == _slot(second), F.lit(False))
-        swapped = first.bitwiseAND(place) > second.bitwiseAND(place)
-        both = F.when(swapped, F.xxhash64(_hash(second), _hash(first))).otherwise(F.xxhash64(_hash(first), _hash(second)))
-        hashed = F.when(paired, both).otherwise(F.xxhash64(_hash(first)))
+        hashed = (
+            F.when(F.size(ordered) == 1, F.xxhash64(_hash(F.get(ordered, F.lit(0)))))
+            .when(paired, tupled(first, second))
+            .when(first.isNotNull(), tupled(first, other(f, first)))
+            .otherwise(F.get(F.transform(F.array(anew(f)), lambda two: tupled(F.get(two, F.lit(0)), F.get(two, F.lit(1)))), F.lit(0)))
+        )
         low = F.shiftrightunsigned(hashed, 64 - TUPLE_BITS)
-        return F.shiftleft(_slot(first), TUPLE_BITS).bitwiseOR(low).cast("int")
+        return F.shiftleft(f, TUPLE_BITS).bitwiseOR(low).cast("int")
 
-    return df.withColumn(out, F.transform(leads, slot)).drop(words, items, ordered, chosen)
+    functions = F.when(F.size(ordered) > 0, F.sequence(F.lit(-SLOTS // 2), F.lit(SLOTS // 2 - 1)))
+    prints = F.transform(F.coalesce(functions, F.array().cast("array<int>")), slot)
+    return df.withColumn(out, prints).drop(words, items, ordered, chosen, leads, owners)
 
 
 def as_text(signature: str) -> Column:

@@ -61,3 +61,30 @@ def test_single_and_empty(spark):
     one = om.fingerprints(spark.createDataFrame([(3, "a b c d")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert om.fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_texts_keep_order(spark):
+    """Swapped halves of short texts: likeness of 64 independent functions, not of mostly single items."""
+    rows = []
+    for n in (20, 40, 80, 130):
+        for k in range(25):
+            w = [f"t{n}x{k}y{j}" for j in range(n)]
+            rows.append((n, " ".join(w), " ".join(w[n // 2 :] + w[: n // 2]), " ".join([*w[:-1], "other"])))
+    df = spark.createDataFrame(rows, "n int, a string, b string, c string").repartition(4)
+    for c in "abc":
+        df = om.with_signature(df, c, f"s{c}")
+    per = df.groupBy("n").agg(F.avg(om.likeness("sa", "sb")).alias("swapped"), F.avg(om.likeness("sa", "sc")).alias("edited"), F.min(F.size("sa")).alias("slots"))
+    found = {r.n: r for r in per.collect()}
+    print({n: (round(r.swapped, 3), round(r.edited, 3)) for n, r in sorted(found.items())})
+    for n, model in ((20, 0.29), (40, 0.42), (80, 0.45), (130, 0.47)):
+        assert found[n].slots == om.SLOTS
+        assert abs(found[n].swapped - model) < 0.08
+        assert found[n].edited > found[n].swapped + 0.2
+
+
+def test_every_function_of_few_items(spark):
+    texts = ["a", "a b", "a b c", "a b c d", "b c d a b c", "c d a b"]
+    df = om.with_signature(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text", "s")
+    found = {r.text: r.s for r in df.collect()}
+    assert all(len(s) == om.SLOTS == len({x >> om.TUPLE_BITS for x in s}) for s in found.values())
+    assert len({tuple(s) for s in found.values()}) == len(texts)
