@@ -3,8 +3,8 @@
 Texts are cut where the tokenizer's own splitting always cuts: before white space that follows
 something else, and before ASCII punctuation that follows an ASCII letter. Ids of a text are
 then those of its pieces. Pieces are hashed in numpy, and each worker keeps the ids of pieces
-it has met, so the library sees every piece once. Texts with white space outside ASCII are
-encoded whole. Pieces are told apart by 64-bit hashes.
+it has met, so the library sees every piece once. Texts with white space outside ASCII,
+or with the string of an added token (which the library finds before it splits), are encoded whole. Pieces are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.newline = self._ids("\n")
+        self.breaks = any(b"\n" in t for t in self.added)  # pieces joined by line breaks could make such a token
         self.forget()
 
     def forget(self) -> None:
@@ -56,7 +57,7 @@ class PieceEncoder:
         simple, broken = [], set()
         for i, p in enumerate(pieces):
             body = p[1:] if p[:1] in (" ", "\n") else p
-            if len(self.newline) == 1 and body.split() == [body]:
+            if len(self.newline) == 1 and not self.breaks and body.split() == [body]:
                 simple.append(i)
                 if p[0] == "\n":  # a token of its own before what is no white space
                     broken.add(i)
@@ -118,6 +119,10 @@ class PieceEncoder:
         """Ids of all texts, one after another, and their number per text."""
         odd = foreign_space(data)
         strange = np.diff(np.searchsorted(odd, offsets)) > 0
+        begins, ends = added_strings(data, self.added)
+        if len(begins):
+            of = np.searchsorted(offsets, begins, "right") - 1
+            strange[of[ends <= offsets[of + 1]]] = True
         if not strange.any():
             return self._some(data, offsets)
         parts, counts = [], np.zeros(len(offsets) - 1, np.int64)
@@ -144,6 +149,18 @@ def foreign_space(data: np.ndarray) -> np.ndarray:
     return lead[np.isin(code, wide) | ((code >= 0xE28080) & (code <= 0xE2808A))]
 
 
+def added_strings(data: np.ndarray, added: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the strings of added tokens, also where they overlap."""
+    raw, begins, ends = data.tobytes() if added else b"", [], []
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            begins.append(at)
+            ends.append(at + len(token))
+            at = raw.find(token, at + 1)
+    return np.array(begins, np.int64), np.array(ends, np.int64)
+
+
 def encoder(path: str) -> PieceEncoder:
     return worker_state(("bpe", path), lambda: PieceEncoder(path))
 
@@ -160,7 +177,7 @@ def encoded_texts(
         data, offsets = text_bytes(batch.column("text"))
         for first, last in chunks(offsets):
             at = offsets[first : last + 1]
-            parts = [found.encode(data[a:b], o) for a, b, o in _cut(data, at)]
+            parts = [found.encode(data[a:b], o) for a, b, o in _cut(data, at, found.added)]
             count = np.array([sum(int(c[0]) for _, c in parts)]) if len(parts) > 1 else parts[0][1]
             ids = np.concatenate([p for p, _ in parts]) if len(parts) > 1 else parts[0][0]
             bounds = np.append(0, np.cumsum(count + 1))
@@ -172,15 +189,23 @@ def encoded_texts(
             yield batch.slice(first, last - first), out, bounds
 
 
-def _cut(data: np.ndarray, at: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+def _cut(data: np.ndarray, at: np.ndarray, added: list[bytes] = ()) -> list[tuple[int, int, np.ndarray]]:
     """The range as it is, or parts of its single long text: begin, end, offsets within the part."""
     if len(at) > 2 or at[-1] - at[0] <= 2 * CHUNK:
         return [(at[0], at[-1], at - at[0])]
     begin, stop, parts = int(at[0]), int(at[-1]), []
+    # no cut inside an added token's string, nor right behind it, where it may take white space along
+    closed = np.zeros(stop - begin + 1, np.int32)
+    firsts, lasts = added_strings(data[begin:stop], list(added))
+    np.add.at(closed, firsts + 1, 1)
+    np.add.at(closed, np.minimum(lasts + 1, len(closed) - 1), -1)
+    open_ = np.cumsum(closed) <= 0
+    base = begin
     while stop - begin > 2 * CHUNK:
         seen = data[begin + CHUNK : min(begin + 2 * CHUNK, stop)]
         # ASCII white space after an ASCII sign that is none
-        good = np.flatnonzero(WHITE[seen[1:]] & ~WHITE[seen[:-1]] & (seen[:-1] < 128))
+        free = open_[begin + CHUNK + 1 - base : begin + CHUNK + len(seen) - base]
+        good = np.flatnonzero(WHITE[seen[1:]] & ~WHITE[seen[:-1]] & (seen[:-1] < 128) & free)
         end = begin + CHUNK + int(good[0]) + 1 if len(good) else stop
         parts.append((begin, end, np.array([0, end - begin])))
         begin = end

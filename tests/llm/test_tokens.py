@@ -103,3 +103,22 @@ def test_cutting_stock_meets_demand_closely():
     assert sum(t for _, t in plan) <= 1.02 * max(sum(s * n for s, n in demand.items()) / 64, sum(n for s, n in demand.items() if s > 32)) + 20
     assert packing.cutting_stock({}, 64) == []
     assert packing.cutting_stock({64: 3}, 64) == [({64: 1}, 3)]
+
+
+def test_ids_of_the_library_defaults(encoder, monkeypatch):
+    """Added tokens in a text get their ids, as by a tokenizer that nothing was set on."""
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(bpe.vocabulary_path())
+    want = lambda t: fresh.encode(t, add_special_tokens=False).ids
+    assert want("a <|endoftext|> b") == [64, 220, 50256, 275]
+    texts = ["a <|endoftext|> b", "plain text, here", "<|endoftext|>", "x<|endoftext|><|endoftext|>y.", "<|endoftext", "|>", "no\xa0<|endoftext|>\n z"]
+    data, offsets = text_bytes(pa.array(texts))
+    ids, count = encoder.encode(data, offsets)
+    assert np.split(ids, np.cumsum(count)[:-1])[0].tolist() == want(texts[0])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [want(t) for t in texts]
+    monkeypatch.setattr(bpe, "CHUNK", 64)
+    monkeypatch.setattr(bpe, "worker_state", lambda key, make: encoder)
+    long = "some words <|endoftext|> and more,<|endoftext|>\n\nof them. " * 100
+    out = list(bpe.encoded_texts(iter([pa.RecordBatch.from_arrays([pa.array([long])], names=["text"])]), "x", 2))
+    assert out[0][1].tolist() == [*want(long), 2]
