@@ -105,15 +105,21 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
         )
         return F.array_min(mixed)
 
+    def once(value: Column, then) -> Column:
+        """``then`` of a value computed once, also where it is used for every item."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
     def slot(f: Column) -> Column:
-        at = F.get(leads, F.array_position(owners, f).cast("int") - 1)
+        return once(F.get(leads, F.array_position(owners, f).cast("int") - 1), lambda at: slot_at(f, at))
+
+    def slot_at(f: Column, at: Column) -> Column:
         first, second = F.get(chosen, at), F.get(chosen, at + 1)
         paired = F.coalesce(_slot(first) == _slot(second), F.lit(False))
         hashed = (
             F.when(F.size(ordered) == 1, F.xxhash64(_hash(F.get(ordered, F.lit(0)))))
             .when(paired, tupled(first, second))
-            .when(first.isNotNull(), tupled(first, other(f, first)))
-            .otherwise(F.get(F.transform(F.array(anew(f)), lambda two: tupled(F.get(two, F.lit(0)), F.get(two, F.lit(1)))), F.lit(0)))
+            .when(first.isNotNull(), once(first, lambda own: once(other(f, own), lambda o: tupled(own, o))))
+            .otherwise(once(anew(f), lambda two: tupled(F.get(two, F.lit(0)), F.get(two, F.lit(1)))))
         )
         low = F.shiftrightunsigned(hashed, 64 - TUPLE_BITS)
         return F.shiftleft(f, TUPLE_BITS).bitwiseOR(low).cast("int")
