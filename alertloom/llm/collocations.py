@@ -62,6 +62,8 @@ class HatTrie:
         self.entries = 0
 
     def add(self, prefix: np.ndarray, rest: np.ndarray) -> None:
+        if not len(prefix):
+            return
         slot = np.searchsorted(self.bounds, prefix, "right") - 1
         order = np.argsort(slot, kind="stable")
         keys = np.empty((len(order), 2), ">u8")
