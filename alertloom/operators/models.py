@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    OneVsRest,
+    OneVsRestModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -68,6 +76,79 @@ def fit_random_forest(
     return _cross_validate(rf, grid, train, folds, seed, parallelism, fold_col)
 
 
+#: Rows of a partition while trees grow: many small fits run side by side, each with few tasks a job.
+ROWS_PER_TASK = 20_000
+
+
+def ensemble_prefix(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees.
+
+    Boosting without row sampling adds tree after tree, so this is the model that
+    a fit of ``n`` iterations gives.
+    """
+    trees, weights = model._java_obj.trees(), model.treeWeights
+    gateway = SparkContext._active_spark_context._gateway
+    first = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    factors = gateway.new_array(gateway.jvm.double, n)
+    for k in range(n):
+        first[k], factors[k] = trees[k], weights[k]
+    made = GBTClassificationModel(gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, first, factors))
+    made._resetUid(model.uid)
+    return made.setFeaturesCol(model.getFeaturesCol()).setRawPredictionCol(model.getRawPredictionCol())
+
+
+def one_vs_rest_prefix(model: OneVsRestModel, n: int) -> OneVsRestModel:
+    made = OneVsRestModel([ensemble_prefix(m, n) for m in model.models])
+    return made.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def _boosted(iterations: int, depth: int, step: float, seed: int) -> OneVsRest:
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, stepSize=step, maxIter=iterations, maxDepth=depth)
+    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=5)
+
+
+def search_gbt_one_vs_rest(
+    train: DataFrame,
+    iterations: Sequence[int] = BOOSTED_ITERATIONS,
+    depths: Sequence[int] = BOOSTED_DEPTHS,
+    folds: int = DEFAULTS.gbt_folds,
+    step: float = 0.1,
+    seed: int = DEFAULTS.seed,
+    parallelism: int = DEFAULTS.cv_parallelism,
+    fold_col: str | None = None,
+) -> dict[tuple[int, int], float]:
+    """Mean weighted F1 over the folds of every (iterations, depth).
+
+    One ensemble is fitted per fold, depth and class, with the most iterations;
+    the shorter ones are its prefixes. All fits of a fold share its rows.
+    """
+    shared_dir(train.sparkSession)  # long boosting is checkpointed there
+    fold = F.col(fold_col) if fold_col else F.floor(F.rand(seed) * folds)
+    rows = _few_tasks(train.select("label", "features", fold.cast("int").alias("_fold"))).persist()
+    parts = [rows.filter(F.col("_fold") != k).select("label", "features").persist() for k in range(folds)]
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
+
+    def score(job: tuple[int, int]) -> list[tuple[tuple[int, int], float]]:
+        k, depth = job
+        longest = _boosted(max(iterations), depth, step, seed).fit(parts[k])
+        held = rows.filter(F.col("_fold") == k)
+        return [((n, depth), evaluator.evaluate(one_vs_rest_prefix(longest, n).transform(held))) for n in iterations]
+
+    try:
+        # the longest fits first
+        jobs = [(k, depth) for depth in sorted(depths, reverse=True) for k in range(folds)]
+        with ThreadPool(parallelism) as pool:
+            found = [pair for pairs in pool.imap_unordered(inheritable_thread_target(score), jobs) for pair in pairs]
+    finally:
+        for df in (*parts, rows):
+            df.unpersist()
+    return {(n, depth): sum(v for key, v in found if key == (n, depth)) / folds for depth in depths for n in iterations}
+
+
+def _few_tasks(df: DataFrame) -> DataFrame:
+    return df.repartition(max(1, -(-df.count() // ROWS_PER_TASK)))
+
+
 def fit_gbt_one_vs_rest(
     train: DataFrame,
     iterations: Sequence[int] = BOOSTED_ITERATIONS,
@@ -77,12 +158,16 @@ def fit_gbt_one_vs_rest(
     seed: int = DEFAULTS.seed,
     parallelism: int = DEFAULTS.cv_parallelism,
     fold_col: str | None = None,
-):
-    """One boosted binary classifier per class, chosen by cross-validated weighted F1. Unweighted."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, stepSize=step, cacheNodeIds=True)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=5)
-    grid = ParamGridBuilder().addGrid(gbt.maxIter, list(iterations)).addGrid(gbt.maxDepth, list(depths)).build()
-    return _cross_validate(ovr, grid, train, folds, seed, parallelism, fold_col)
+) -> OneVsRestModel:
+    """One boosted binary classifier per class, chosen by cross-validated weighted F1 and fitted on all rows. Unweighted."""
+    scores = search_gbt_one_vs_rest(train, iterations, depths, folds, step, seed, parallelism, fold_col)
+    # the first of the grid on ties
+    n, depth = max(scores, key=scores.__getitem__)
+    rows = _few_tasks(train.select("label", "features")).persist()
+    try:
+        return _boosted(n, depth, step, seed).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def feature_importance(model, transformed: DataFrame, features: str = "features_raw", top: int = 20) -> DataFrame:
