@@ -1,94 +1,56 @@
-"""Exact percentiles, histograms and the anomaly score."""
+"""Percentiles, histograms and the anomaly score."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.functions.expressions import anomaly_score
 from alertloom.params import LABEL_COL, NORMAL
 
-RANK_ACCURACY = 10_000
-VALUE_BLOCKS = 1024
-
-
-def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = RANK_ACCURACY) -> float | None:
-    """Percentile with linear interpolation, exact, without gathering the column in one task.
+def percentile(column: Column, p: float, accuracy: int | None = None) -> Column:
+    """Percentile of a column as an aggregate.
 
-    ``percentile`` keeps every distinct value in one buffer. Here an approximate
-    quantile brackets the wanted ranks and a count proves that the bracket holds
-    them. Values inside it are counted per block of the bracket, and the running
-    count within blocks finds the ranks. The column is read several times, so
-    that one column is kept.
+    Exact with linear interpolation; with ``accuracy`` an approximate one whose
+    rank is off by at most rows / accuracy, for columns with more distinct values
+    than a task can hold.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null").persist()
-    try:
-        return _percentile(values, p, accuracy)
-    finally:
-        values.unpersist()
-
-
-def _percentile(values: DataFrame, p: float, accuracy: int) -> float | None:
-    n = values.count()
-    if n == 0:
-        return None
-    position = p * (n - 1)
-    ranks = sorted({math.floor(position), math.ceil(position)})
-    slack = 2.0 / accuracy
-    while True:
-        shares = [max(0.0, ranks[0] / n - slack), min(1.0, (ranks[-1] + 1) / n + slack)]
-        low, high = values.agg(F.percentile_approx("x", shares, accuracy).alias("q")).first().q
-        counts = values.agg(
-            F.count_if(F.col("x") < low).alias("below"), F.count_if(F.col("x").between(low, high)).alias("inside")
-        ).first()
-        if counts.below <= ranks[0] and ranks[-1] < counts.below + counts.inside:
-            break
-        slack *= 4  # the bracket missed a rank
-    if low == high:
-        return float(low)
-    block = F.floor((F.col("x") - low) / (high - low) * VALUE_BLOCKS)
-    grouped = values.filter(F.col("x").between(low, high)).groupBy("x").agg(F.count("*").alias("c"))
-    found = _values_at(grouped.withColumn("block", block), [rank - counts.below for rank in ranks])
-    return float(found[0] + (found[-1] - found[0]) * (position - math.floor(position)))
-
-
-def _values_at(grouped: DataFrame, ranks: list[int]) -> list[float]:
-    """Values at the given zero-based ranks of (x, c, block) groups.
-
-    The totals of the blocks (at most ``VALUE_BLOCKS`` + 1 rows, so they are
-    broadcast) tell how many values lie before each; the running count is taken
-    within blocks.
-    """
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = grouped.groupBy("block").agg(F.sum("c").alias("n"))
-    bases = totals.select("block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    running = grouped.withColumn("upto", F.sum("c").over(Window.partitionBy("block").orderBy("x")))
-    placed = running.join(F.broadcast(bases), "block").withColumn("upto", F.col("upto") + F.col("base"))
-    return list(placed.agg(*[F.min(F.when(F.col("upto") > rank, F.col("x"))) for rank in ranks]).first())
+    return F.percentile(column, p) if accuracy is None else F.percentile_approx(column, p, accuracy).cast("double")
 
 
 # --- anomaly ------------------------------------------------------------------
 
 
 def calibrate_threshold(
-    df: DataFrame, error: str = "mse", label: str = LABEL_COL, normal: str = NORMAL, p: float = 0.95
-) -> tuple[float, float]:
-    """(threshold, max error): percentile of the error over normal rows, maximum over all rows."""
-    threshold = exact_percentile(df.filter(F.col(label) == normal), error, p)
-    return threshold, df.agg(F.max(error).alias("m")).first().m
-
-
-def score_anomalies(df: DataFrame, threshold: float, max_error: float, error: str = "mse") -> DataFrame:
-    """Error scaled by the calibrated maximum, and the flag for errors above the threshold."""
-    return df.withColumn("anomaly_score", anomaly_score(error, max_error)).withColumn(
-        "predicted_anomaly", F.col(error) > threshold
+    df: DataFrame,
+    error: str = "mse",
+    label: str = LABEL_COL,
+    normal: str = NORMAL,
+    p: float = 0.95,
+    accuracy: int | None = None,
+) -> DataFrame:
+    """One row ``threshold, max_error``: percentile of the error over normal rows, maximum over all rows.
+
+    One lazy pass. Without a normal row the threshold is null.
+    """
+    value = F.col(error).cast("double")
+    return df.agg(
+        percentile(F.when(F.col(label) == normal, value), p, accuracy).alias("threshold"), F.max(value).alias("max_error")
     )
 
 
-def scaled_threshold(threshold: float, max_error: float) -> float:
-    return threshold / (max_error + 1e-9)
+def score_anomalies(df: DataFrame, calibration: DataFrame, error: str = "mse") -> DataFrame:
+    """Error scaled by the calibrated maximum, the threshold on that scale, and the flag for errors above it.
+
+    ``calibration`` is the one row of ``calibrate_threshold``. A null threshold gives null flags.
+    """
+    return (
+        df.crossJoin(F.broadcast(calibration))
+        .withColumn("anomaly_score", anomaly_score(error, F.col("max_error")))
+        .withColumn("scaled_threshold", anomaly_score("threshold", F.col("max_error")))
+        .withColumn("predicted_anomaly", F.col(error) > F.col("threshold"))
+        .drop("max_error")
+    )
 
 
 # --- histograms ---------------------------------------------------------------

@@ -116,11 +116,15 @@ def overfit_check(val: DataFrame, test: DataFrame, metric: str = "f1_macro", lim
 
 
 def binary_detection_metrics(
-    df: DataFrame, flag: str = "predicted_anomaly", label: str = LABEL_COL, normal: str = NORMAL
+    df: DataFrame,
+    flag: str = "predicted_anomaly",
+    label: str = LABEL_COL,
+    normal: str = NORMAL,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """tp / tn / fp / fn of a detector with recall, precision and F1. A null flag or label is no hit and no attack."""
     hit, attack = F.coalesce(F.col(flag), F.lit(False)), F.coalesce(F.col(label) != normal, F.lit(False))
-    counts = df.agg(
+    counts = df.groupBy(*by).agg(
         F.count_if(hit & attack).alias("tp"),
         F.count_if(~hit & ~attack).alias("tn"),
         F.count_if(hit & ~attack).alias("fp"),

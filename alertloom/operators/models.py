@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -138,7 +139,7 @@ def search_gbt_one_vs_rest(
         # the longest fits first
         jobs = [(k, depth) for depth in sorted(depths, reverse=True) for k in range(folds)]
         with ThreadPool(parallelism) as pool:
-            found = [pair for pairs in pool.imap_unordered(inheritable_thread_target(score), jobs) for pair in pairs]
+            found = [pair for pairs in pool.imap_unordered(inheritable_thread_target(train.sparkSession)(score), jobs) for pair in pairs]
     finally:
         for df in (*parts, rows):
             df.unpersist()
@@ -170,6 +171,14 @@ def fit_gbt_one_vs_rest(
         rows.unpersist()
 
 
+def with_confidence(scored: DataFrame) -> DataFrame:
+    """``confidence``: per class, the forest's probability, or for one-vs-rest boosting that of the class's own model."""
+    if "probability" in scored.columns:
+        return scored.withColumn("confidence", vector_to_array("probability"))
+    # the boosted classifier's own link: logistic in twice the margin
+    return scored.withColumn("confidence", F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m))))
+
+
 def feature_importance(model, transformed: DataFrame, features: str = "features_raw", top: int = 20) -> DataFrame:
     """Importance per source column: the slots of a one-hot block are added up.
 
@@ -194,41 +203,45 @@ def components_for(n_features: int) -> int:
     return max(n_features // BOTTLENECK_SHARE, BOTTLENECK_LEAST)
 
 
-def fit_pca_detector(train: DataFrame, n_features: int, k: int | None = None, label: str = LABEL_COL) -> PipelineModel:
+def fit_pca_detector(train: DataFrame, k: int | None = None, label: str = LABEL_COL) -> PipelineModel:
     """Principal components of the normal rows, centered on their mean.
 
     This is the linear counterpart of a reconstruction network with a bottleneck
     of ``k`` units.
     """
+    if k is None:
+        k = components_for(train.select(F.size(vector_to_array("features"))).first()[0])
     center = StandardScaler(inputCol="features", outputCol="centered", withMean=True, withStd=False)
-    pca = PCA(k=k or components_for(n_features), inputCol="centered", outputCol="projected")
+    pca = PCA(k=k, inputCol="centered", outputCol="projected")
     return Pipeline(stages=[center, pca]).fit(train.filter(F.col(label) == NORMAL))
 
 
-def reconstruction_error(model: PipelineModel, df: DataFrame, n_features: int) -> DataFrame:
+def reconstruction_error(model: PipelineModel, df: DataFrame, features: str = "features") -> DataFrame:
     """Mean squared reconstruction error per row as ``mse``.
 
-    Residuals are taken slot by slot, as a difference of squared lengths would
-    lose its digits when the reconstruction is good. The components are a
-    matrix of slots x ``k``, which depends on the features alone.
+    Rows come as Arrow batches and are projected on the components and back as
+    blocks. Residuals are taken slot by slot, as a difference of squared lengths
+    would lose its digits when the reconstruction is good. The mean and the
+    components depend on the features alone. A null vector gives a null error.
     """
-    components = model.stages[1].pc.toArray().tolist()
-    scored = model.transform(df).withColumn("_c", vector_to_array("centered")).withColumn("_p", vector_to_array("projected"))
+    mean, components = model.stages[0].mean.toArray(), model.stages[1].pc.toArray()
 
-    def residual(i: int):
-        rebuilt = reduce(lambda a, b: a + b, [F.col("_p")[j] * w for j, w in enumerate(components[i])])
-        return F.pow(F.col("_c")[i] - rebuilt, 2)
+    @F.arrow_udf("double")
+    def error(rows: pa.Array) -> pa.Array:
+        valid = np.asarray(rows.is_valid())
+        x = np.asarray(rows.flatten(), np.float64).reshape(-1, len(mean)) - mean
+        out = np.zeros(len(rows))
+        out[valid] = ((x - x @ components @ components.T) ** 2).mean(axis=1)
+        return pa.array(out, mask=~valid)
 
-    error = F.aggregate(F.array(*[residual(i) for i in range(n_features)]), F.lit(0.0), lambda acc, x: acc + x) / n_features
-    return scored.withColumn("mse", error).drop("centered", "projected", "_c", "_p")
+    return df.withColumn("mse", error(vector_to_array(features)))
 
 
-def fit_anomaly_detector(train: DataFrame, val: DataFrame, n_features: int, k: int | None = None, label: str = LABEL_COL):
-    """(model, threshold, max error): fitted on normal training rows, calibrated on validation rows."""
-    model = fit_pca_detector(train, n_features, k, label)
-    threshold, max_error = calibrate_threshold(reconstruction_error(model, val, n_features), "mse", label)
-    return model, threshold, max_error
+def fit_anomaly_detector(train: DataFrame, val: DataFrame, k: int | None = None, label: str = LABEL_COL):
+    """(model, one row ``threshold, max_error``): fitted on normal training rows, calibrated on validation rows."""
+    model = fit_pca_detector(train, k, label)
+    return model, calibrate_threshold(reconstruction_error(model, val), "mse", label)
 
 
-def anomaly_scores(model: PipelineModel, df: DataFrame, n_features: int, threshold: float, max_error: float) -> DataFrame:
-    return score_anomalies(reconstruction_error(model, df, n_features), threshold, max_error)
+def anomaly_scores(model: PipelineModel, df: DataFrame, calibration: DataFrame) -> DataFrame:
+    return score_anomalies(reconstruction_error(model, df), calibration)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -52,6 +53,27 @@ def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(df.filter(F.col("split") == s).drop("split") for s in SPLITS)
 
 
+def split_overlaps(df: DataFrame, key: str, parts: Sequence[str] = SPLITS) -> DataFrame:
+    """Keys that two splits share, and keys of all rows that no split or a second row has: all 0 for a proper split.
+
+    ``check`` names the pair, or ``missing`` (keys in no split) and ``repeated`` (rows beyond their distinct keys).
+    """
+    keys = {p: df.filter(F.col("split") == p).select(key) for p in parts}
+    count = lambda rows, name: rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
+    checks = [count(keys[a].intersect(keys[b]), f"{a} & {b}") for a, b in combinations(parts, 2)]
+    everything = reduce(DataFrame.unionByName, keys.values())
+    checks.append(count(df.select(key).exceptAll(everything), "missing"))
+    checks.append(count(everything.exceptAll(everything.distinct()), "repeated"))
+    return reduce(DataFrame.unionByName, checks)
+
+
+def mark_seen(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``seen``: whether its value of ``column`` occurs in ``train``; a null is unseen."""
+    known = train.select(F.col(column).alias("_known")).filter("_known IS NOT NULL").distinct()
+    unseen = df.join(known, F.col(column) == F.col("_known"), "left_anti").withColumn("seen", F.lit(False))
+    return df.join(known, F.col(column) == F.col("_known"), "left_semi").withColumn("seen", F.lit(True)).unionByName(unseen)
+
+
 def kfold_assignment(df: DataFrame, key: str | Column, k: int) -> DataFrame:
     return df.withColumn("fold", fold_index(key, k))
 
@@ -117,8 +139,9 @@ def label_lookup(df: DataFrame, index: str, labels: Sequence[str] = LABELS) -> D
 # --- feature pipeline -------------------------------------------------------------
 
 
-def label_indexer(column: str = LABEL_COL) -> StringIndexer:
-    return StringIndexer(inputCol=column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")
+def label_indexer(column: str = LABEL_COL, unseen: str = "error") -> StringIndexer:
+    """Alphabetical class index; ``unseen="keep"`` gives classes that training did not have the index after the last."""
+    return StringIndexer(inputCol=column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid=unseen)
 
 
 def category_indexer(columns: Sequence[str] = CATEGORICAL) -> StringIndexer:

@@ -41,6 +41,22 @@ from alertloom.params import (
 # --- predictions ---------------------------------------------------------------
 
 
+def alerts_from_predictions(predictions: DataFrame, key: str, events: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
+    """Predictions as a source of alerts: class indices of ``labels``, and ``stream_id, ts`` of their ``events``."""
+    index = lambda name: (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(name)) - 1).cast("int")
+    return predictions.join(events, F.col(key) == F.col("alert_id")).select(
+        "alert_id",
+        "stream_id",
+        "ts",
+        index("true_label").alias("true_class"),
+        "true_label",
+        index("predicted_label").alias("predicted_class"),
+        "predicted_label",
+        "predicted_proba",
+        "split",
+    )
+
+
 def extract_predictions(
     df: DataFrame,
     probability: str = "probability",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import OneVsRestModel, RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -306,17 +306,9 @@ def policy_epsilon_greedy(spark, sf):
 @query
 def anomaly_score(spark, sf):
     a = tables.alerts(spark, sf)
-    threshold, top = distribution.calibrate_threshold(a, "error", "true_label")
-    scored = distribution.score_anomalies(a, threshold, top, "error")
-    return rounded(
-        scored.select(
-            "alert_id",
-            "anomaly_score",
-            "predicted_anomaly",
-            F.lit(distribution.scaled_threshold(threshold, top)).alias("scaled_threshold"),
-        ),
-        ["anomaly_score", "scaled_threshold"],
-    )
+    scored = distribution.score_anomalies(a, distribution.calibrate_threshold(a, "error", "true_label"), "error")
+    columns = ["alert_id", "anomaly_score", "predicted_anomaly", "scaled_threshold"]
+    return rounded(scored.select(columns), ["anomaly_score", "scaled_threshold"])
 
 
 @query
@@ -442,16 +434,14 @@ def confusion_matrix(spark, sf):
 @query
 def binary_detection_metrics(spark, sf):
     a = tables.alerts(spark, sf)
-    threshold, top = distribution.calibrate_threshold(a, "error", "true_label")
-    scored = distribution.score_anomalies(a, threshold, top, "error")
+    scored = distribution.score_anomalies(a, distribution.calibrate_threshold(a, "error", "true_label"), "error")
     return rounded(metrics.binary_detection_metrics(scored, label="true_label"), ["recall", "precision", "f1"])
 
 
 @query
 def calibrate_threshold(spark, sf):
     a = alert_split(spark, sf).filter("split = 'val'")
-    threshold, top = distribution.calibrate_threshold(a, "error", "true_label")
-    return rounded(spark.createDataFrame([(threshold, top)], "threshold double, max_error double"), ["threshold", "max_error"])
+    return rounded(distribution.calibrate_threshold(a, "error", "true_label"), ["threshold", "max_error"])
 
 
 @query
@@ -474,8 +464,7 @@ def confidence_histogram(spark, sf):
 @query
 def score_histogram(spark, sf):
     a = tables.alerts(spark, sf)
-    top = a.agg(F.max("error").alias("m")).first().m
-    scored = a.withColumn("anomaly_score", fx.anomaly_score("error", top))
+    scored = distribution.score_anomalies(a, distribution.calibrate_threshold(a, "error", "true_label"), "error")
     h = distribution.class_histogram(scored, "true_label", "anomaly_score", 50)
     return rounded(h, ["bin_left", "bin_right", "density"])
 
@@ -566,6 +555,41 @@ def kfold_assignment(spark, sf):
     return prepare.kfold_assignment(train, "record_id", DEFAULTS.rf_folds).select("record_id", "fold")
 
 
+@query
+def split_overlaps(spark, sf):
+    return prepare.split_overlaps(known_split(spark, sf).select("record_id", "split"), "record_id")
+
+
+#: Attack types that training does not get, so that the external set has unseen ones.
+HELD_TYPES = ("satan", "xterm")
+
+
+def _external(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(training records of known classes, external records of all classes)."""
+    data = tables.labelled_records(spark, sf).withColumn("external", fx.hash_draw("record_id", "external") < 0.2)
+    train = prepare.filter_known_classes(data.filter("NOT external")).filter(~F.col("attack_type").isin(*HELD_TYPES))
+    return train, data.filter("external")
+
+
+@query
+def seen_unseen_recall(spark, sf):
+    """Alerts of the external set, and share of them given their own class, by class and whether training had the attack type."""
+    train, external = _external(spark, sf)
+    marked = prepare.mark_seen(external.select("record_id", "attack_type", LABEL_COL), train, "attack_type")
+    alerts = tables.alerts(spark, sf).select(F.col("alert_id").alias("record_id"), "predicted_label")
+    hit = (F.col("predicted_label") == F.col(LABEL_COL)).cast("double")
+    counts = marked.join(alerts, "record_id").groupBy(LABEL_COL, "seen").agg(F.count("*").alias("n"), F.avg(hit).alias("recall"))
+    return rounded(counts, ["recall"])
+
+
+@query
+def external_label_index(spark, sf):
+    """Class index of the external rows; a class that training did not have gets the index after the last."""
+    train, external = _external(spark, sf)
+    model = prepare.label_indexer(unseen="keep").fit(train)
+    return model.transform(external).select("record_id", LABEL_COL, "label")
+
+
 # --- features ----------------------------------------------------------------------------------------------
 
 # values seen in training: 3 protocols, 7 services, 4 flags
@@ -627,83 +651,188 @@ def feature_pipeline(spark, sf):
 # --- models ----------------------------------------------------------------------------------------------------
 
 
-def _model_data(spark, sf):
-    """(features of train with weights and folds, features of all splits, fitted pipeline, clean records).
+# the published grids (the defaults of the fitting functions) and folds
+FOREST_SEARCH = {"folds": DEFAULTS.rf_folds}
+BOOSTED_SEARCH = {"folds": DEFAULTS.gbt_folds, "parallelism": 6}
+
+# what was fitted in this session, by kind and version of the table: a search takes minutes and several queries use it
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def _kept(spark, sf, kind, write) -> str:
+    """Folder of what ``write(folder)`` makes of the events, written once per session and version of the table."""
+    key = (spark.sparkContext.applicationId, sinks.table_version(spark, f"{sf}/events.parquet"), kind)
+    if key not in _KEPT or not sinks.exists(spark, _KEPT[key]):
+        _KEPT[key] = write(scratch_path(spark, kind))
+    return _KEPT[key]
+
+
+def _features(spark, sf):
+    """(fitted feature stages, clean records with split, features of all splits), stored."""
+
+    def write(path):
+        data = spark.read.parquet(sinks.write_parquet(known_split(spark, sf), f"{path}/clean", ["split"]))
+        model = prepare.fit_features(data.filter("split = 'train'").drop("split"), exclude=["record_id"])
+        sinks.save_model(model, f"{path}/stages")
+        out = prepare.transform_features(model, data, keep=["record_id", "split"])
+        sinks.write_parquet(out, f"{path}/features", ["split"])
+        return path
+
+    path = _kept(spark, sf, "features", write)
+    return sinks.load_model(f"{path}/stages"), spark.read.parquet(f"{path}/clean"), spark.read.parquet(f"{path}/features")
+
+
+def _training(spark, sf, folds: int) -> DataFrame:
+    """Features of the training rows with weights and folds.
 
     Weights come from the class counts of the raw training rows, before the assembler drops any.
     """
-    model, data = fitted(spark, sf)
-    out = prepare.transform_features(model, data, keep=["record_id", "split"])
-    rows = spark.read.parquet(sinks.write_parquet(out, scratch_path(spark, "features"), ["split"]))
+    model, data, rows = _features(spark, sf)
     weights = prepare.class_weights(data.filter("split = 'train'"))
     by_index = prepare.class_weight_map(weights, labels=prepare.fitted_labels(model))
     train = prepare.attach_class_weight(rows.filter("split = 'train'"), by_index)
-    return train, rows, model, data
+    return prepare.kfold_assignment(train, "record_id", folds)
 
 
-# the published grids (the defaults of the fitting functions) and folds
-FOREST_SEARCH = {"folds": DEFAULTS.rf_folds}
-BOOSTED_SEARCH = {"folds": DEFAULTS.gbt_folds}
+def _forest(spark, sf) -> RandomForestClassificationModel:
+    def write(path):
+        train = _training(spark, sf, FOREST_SEARCH["folds"])
+        return sinks.save_model(models.fit_random_forest(train, fold_col="fold", **FOREST_SEARCH), path)
 
+    return RandomForestClassificationModel.load(_kept(spark, sf, "forest", write))
 
-# searched models of this session, by kind and table folder: a search takes minutes and several queries use its result
-_SEARCHED: dict[tuple[str, str, str], str] = {}
 
+def _boosted(spark, sf) -> OneVsRestModel:
+    def write(path):
+        train = _training(spark, sf, BOOSTED_SEARCH["folds"])
+        return sinks.save_model(models.fit_gbt_one_vs_rest(train, fold_col="fold", **BOOSTED_SEARCH), path)
 
-def _searched(spark, sf, kind, loader, fit):
-    """The model of a search, saved once per session and read back for every use."""
-    key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _SEARCHED or not sinks.exists(spark, _SEARCHED[key]):
-        _SEARCHED[key] = sinks.save_model(fit(), scratch_path(spark, kind))
-    return loader.load(_SEARCHED[key])
+    return OneVsRestModel.load(_kept(spark, sf, "boosted", write))
 
 
-def _forest(spark, sf):
-    train, rows, model, data = _model_data(spark, sf)
-    train = prepare.kfold_assignment(train, "record_id", FOREST_SEARCH["folds"])
+CLASSIFIERS = {"boosted": _boosted, "forest": _forest}
 
-    def fit():
-        return models.fit_random_forest(train, fold_col="fold", **FOREST_SEARCH)
 
-    return _searched(spark, sf, "forest", RandomForestClassificationModel, fit), rows, model, data
+def _predicted(spark, sf, name: str) -> DataFrame:
+    """Alerts as the model sees them, on all splits."""
+    stages, _, rows = _features(spark, sf)
+    scored = models.with_confidence(CLASSIFIERS[name](spark, sf).transform(rows))
+    found = triage.extract_predictions(scored, "confidence", keep=["record_id", "split"], labels=prepare.fitted_labels(stages))
+    events = tables.alerts(spark, sf).select("alert_id", "stream_id", "ts")
+    return triage.alerts_from_predictions(found, "record_id", events).withColumn("model", F.lit(name))
 
 
-def _boosted(spark, sf):
-    train, rows, model, data = _model_data(spark, sf)
-    train = prepare.kfold_assignment(train, "record_id", BOOSTED_SEARCH["folds"])
+def _prediction_store(spark, sf, *names: str) -> DataFrame:
+    """The stored predictions of the named models (all, if none), each written when first asked for."""
+    names = names or tuple(CLASSIFIERS)
+    path = _kept(spark, sf, "predictions", lambda path: sinks.write_predictions(_predicted(spark, sf, names[0]), path))
+    for name in names:
+        if not sinks.exists(spark, f"{path}/model={name}"):
+            sinks.write_predictions(_predicted(spark, sf, name), path)
+    return sinks.read_predictions(spark, path).filter(F.col("model").isin(*names))
 
-    def fit():
-        return models.fit_gbt_one_vs_rest(train, fold_col="fold", parallelism=4, **BOOSTED_SEARCH)
 
-    return _searched(spark, sf, "boosted", OneVsRestModel, fit), rows, model, data
+def _stored_counts(spark, sf) -> DataFrame:
+    held = _prediction_store(spark, sf).filter("split <> 'train'")
+    return metrics.confusion_counts(held, "true_class", "predicted_class", ["model", "split"])
 
 
 @query
 def rf_predict(spark, sf):
-    best, rows, model, _ = _forest(spark, sf)
-    labels = prepare.fitted_labels(model)
-    return triage.extract_predictions(best.transform(rows), keep=["record_id", "split"], labels=labels)
+    stages, _, rows = _features(spark, sf)
+    labels = prepare.fitted_labels(stages)
+    return triage.extract_predictions(_forest(spark, sf).transform(rows), keep=["record_id", "split"], labels=labels)
+
+
+def _invariants(predicted: DataFrame, least: float) -> DataFrame:
+    """Rows per split and class, how many have a class or probability out of range, and whether the split's
+    predictions hit more often than always saying its most frequent class would."""
+    odd = ~F.col("predicted_class").between(0, len(LABELS) - 1) | ~F.col("predicted_proba").between(least, 1.0)
+    hit = F.col("predicted_label") == F.col("true_label")
+    counts = predicted.groupBy("split", "true_label").agg(
+        F.count("*").alias("n"), F.count_if(odd).alias("out_of_range"), F.count_if(hit).alias("hits")
+    )
+    whole = Window.partitionBy("split")
+    better = F.sum("hits").over(whole) > F.max("n").over(whole)
+    return counts.withColumn("beats_majority", better).drop("hits")
 
 
 @query
 def rf_prediction_invariants(spark, sf):
-    """Rows per split and class of the forest's predictions, and how many have a class or probability out of range."""
-    predicted = rf_predict(spark, sf)
-    odd = ~F.col("predicted_class").between(0, len(LABELS) - 1) | ~F.col("predicted_proba").between(1 / len(LABELS), 1.0)
-    return predicted.groupBy("split", "true_label").agg(F.count("*").alias("n"), F.count_if(odd).alias("out_of_range"))
+    return _invariants(rf_predict(spark, sf), 1 / len(LABELS))
 
 
 @query
 def gbt_ovr_predict(spark, sf):
-    best, rows, _, _ = _boosted(spark, sf)
+    _, _, rows = _features(spark, sf)
     predicted = F.col("prediction").cast("int").alias("predicted_class")
-    return best.transform(rows).select("record_id", "split", LABEL_COL, predicted)
+    return _boosted(spark, sf).transform(rows).select("record_id", "split", LABEL_COL, predicted)
+
+
+@query
+def gbt_prediction_invariants(spark, sf):
+    return _invariants(_prediction_store(spark, sf, "boosted"), 0.0)
 
 
 @query
 def feature_importance(spark, sf):
-    best, _, pipeline, data = _forest(spark, sf)
-    return models.feature_importance(best, pipeline.transform(data))
+    stages, data, _ = _features(spark, sf)
+    return models.feature_importance(_forest(spark, sf), stages.transform(data))
+
+
+@query
+def prediction_store(spark, sf):
+    """Rows per model and split of the store, after the forest's part was written a second time."""
+    store = _prediction_store(spark, sf)
+    path = store.inputFiles()[0].split("/model=")[0]
+    sinks.write_predictions(_predicted(spark, sf, "forest"), path)
+    return (
+        sinks.read_predictions(spark, path)
+        .groupBy("model", "split")
+        .agg(F.count("*").alias("n"), F.countDistinct("alert_id").alias("n_ids"), F.count_if(F.expr("ts IS NULL OR predicted_label IS NULL")).alias("n_open"))
+    )
+
+
+@query
+def fitted_model_report(spark, sf):
+    """Metrics and recalls of the stored forest and boosted predictions on validation and test."""
+    return metrics.model_report(_stored_counts(spark, sf), by=["model", "split"])
+
+
+@query
+def fitted_best_model(spark, sf):
+    return metrics.best_model(fitted_model_report(spark, sf).filter("split = 'val'").drop("split"))
+
+
+@query
+def fitted_overfit_check(spark, sf):
+    report = metrics.multiclass_metrics(_stored_counts(spark, sf), by=["model", "split"])
+    return metrics.overfit_check(report.filter("split = 'val'"), report.filter("split = 'test'"))
+
+
+@query
+def fitted_policy_scorecard(spark, sf):
+    """Scorecard of the baseline policies over the stored predictions of each model, on validation and test."""
+    held = _prediction_store(spark, sf).filter("split <> 'train'")
+    return triage.scorecard(triage.policy_counts(held, triage.baseline_policies(), ["model", "split"]), ["model", "policy", "split"])
+
+
+@query
+def classifier_roundtrip(spark, sf):
+    """Predictions of whole pipelines, feature stages and classifier, before and after saving: rows of only one side."""
+    stages, data, _ = _features(spark, sf)
+    reports = []
+    for name, fitted_model in CLASSIFIERS.items():
+        whole = PipelineModel([*stages.stages, fitted_model(spark, sf)])
+        again = sinks.load_model(sinks.save_model(whole, scratch_path(spark, name)))
+        raw = F.transform(vector_to_array("rawPrediction"), lambda x: F.round(x, 9)).alias("raw")
+        before, after = (m.transform(data).select("record_id", "split", "prediction", raw) for m in (whole, again))
+        counts = [
+            df.agg(F.count("*").alias(column))
+            for column, df in (("n", before), ("only_before", before.exceptAll(after)), ("only_after", after.exceptAll(before)))
+        ]
+        reports.append(counts[0].crossJoin(counts[1]).crossJoin(counts[2]).select(F.lit(name).alias("model"), "*"))
+    return prepare.union_parts(reports)
 
 
 def _embedding_rows(spark, sf) -> DataFrame:
@@ -715,28 +844,54 @@ def _embedding_rows(spark, sf) -> DataFrame:
     return prepare.stratified_split(rows, "vec_id")
 
 
-EMBEDDING_DIM = 64
+def _detector(spark, sf):
+    """(model, calibration, errors of all rows), the errors stored as several reports read them."""
+    rows = _embedding_rows(spark, sf)
+    model = models.fit_pca_detector(rows.filter("split = 'train'"))
+    path = scratch_path(spark, "errors")
+    sinks.write_parquet(models.reconstruction_error(model, rows).drop("features"), path)
+    errors = spark.read.parquet(path)
+    return model, distribution.calibrate_threshold(errors.filter("split = 'val'")), errors
 
 
 @query
 def pca_reconstruction_error(spark, sf):
     rows = _embedding_rows(spark, sf)
-    model = models.fit_pca_detector(rows.filter("split = 'train'"), EMBEDDING_DIM)
-    return models.reconstruction_error(model, rows, EMBEDDING_DIM).select("vec_id", LABEL_COL, "split", "mse")
+    model = models.fit_pca_detector(rows.filter("split = 'train'"))
+    return models.reconstruction_error(model, rows).select("vec_id", LABEL_COL, "split", "mse")
 
 
 @query
 def anomaly_detection_report(spark, sf):
-    rows = _embedding_rows(spark, sf)
-    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
-    model, threshold, top = models.fit_anomaly_detector(train, val, EMBEDDING_DIM)
-    reports = [
-        metrics.binary_detection_metrics(
-            models.anomaly_scores(model, rows.filter(F.col("split") == s), EMBEDDING_DIM, threshold, top)
-        ).withColumn("split", F.lit(s))
-        for s in prepare.SPLITS
-    ]
-    return reports[0].unionByName(reports[1]).unionByName(reports[2]).withColumn("threshold", F.lit(threshold))
+    _, calibration, errors = _detector(spark, sf)
+    scored = distribution.score_anomalies(errors, calibration)
+    return metrics.binary_detection_metrics(scored, by=["split", "threshold"])
+
+
+@query
+def detector_score_histogram(spark, sf):
+    """Density of the detector's scores per class."""
+    _, calibration, errors = _detector(spark, sf)
+    scored = distribution.score_anomalies(errors, calibration)
+    return rounded(distribution.class_histogram(scored, LABEL_COL, "anomaly_score", 50), ["bin_left", "bin_right", "density"])
+
+
+@query
+def detector_roundtrip(spark, sf):
+    """Scores and flags of the calibrated detector before and after saving: rows per split, and rows of only one side."""
+    model, calibration, errors = _detector(spark, sf)
+    again, calibrated = sinks.read_detector(spark, sinks.write_detector(model, calibration, scratch_path(spark, "detector")))
+    columns = ["vec_id", "split", "mse", "anomaly_score", "predicted_anomaly"]
+    scores = (distribution.score_anomalies(errors, calibration), models.anomaly_scores(again, _embedding_rows(spark, sf), calibrated))
+    # the last digits of a product depend on the rows of its block
+    before, after = (rounded(df.select(columns), ["mse", "anomaly_score"], 9) for df in scores)
+    sides = before.withColumn("before", F.lit(1)).unionByName(after.withColumn("before", F.lit(-1)))
+    balance = sides.groupBy(columns).agg(F.count_if(F.col("before") == 1).alias("n"), F.sum("before").alias("d"))
+    return balance.groupBy("split").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.greatest("d", F.lit(0))).alias("only_before"),
+        F.sum(F.greatest(-F.col("d"), F.lit(0))).alias("only_after"),
+    )
 
 
 # --- learning -------------------------------------------------------------------------------------------------------

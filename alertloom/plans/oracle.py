@@ -371,6 +371,21 @@ FROM bins LEFT JOIN hits ON hits.g = bins.g AND hits.bin = bins.bin"""
 _long_stats = " UNION ALL ".join
 PROFILE_NUMERIC = [c for c in FEATURE_COLUMNS if c not in CATEGORICAL]
 
+# --- models and external rows ----------------------------------------------------------
+
+_COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in NUMERIC_FEATURES)
+_INVARIANTS = (
+    "SELECT split, attack_category AS true_label, count(*) AS n, 0::BIGINT AS out_of_range, true AS beats_majority "
+    f"FROM known WHERE {_COMPLETE} GROUP BY split, attack_category"
+)
+_EXTERNAL = f"""drawn_rows AS (
+  SELECT *, {draw('record_id', "'external'")} < 0.2 AS is_external FROM records
+), train_rows AS (
+  SELECT * FROM drawn_rows WHERE NOT is_external AND attack_category <> 'Unknown' AND attack_type NOT IN ('satan', 'xterm')
+), external AS (
+  SELECT *, attack_type IN (SELECT attack_type FROM train_rows) AS seen FROM drawn_rows WHERE is_external)"""
+
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "scan_csv_positional": over_records(f"SELECT {columns([*RAW_NAMES, 'attack_category'])} FROM records"),
@@ -733,12 +748,28 @@ ORACLES: dict[str, str] = {
     + " FROM lineitem)",
     "feature_pipeline": FEATURE_SQL,
     # models
-    "rf_prediction_invariants": over_records(
-        "SELECT split, attack_category AS true_label, count(*) AS n, 0::BIGINT AS out_of_range FROM known WHERE "
-        + " AND ".join(f'"{c}" IS NOT NULL' for c in NUMERIC_FEATURES)
-        + " GROUP BY split, attack_category",
+    "rf_prediction_invariants": over_records(_INVARIANTS, KNOWN),
+    "gbt_prediction_invariants": over_records(_INVARIANTS, KNOWN),
+    "prediction_store": over_records(
+        f"SELECT model, split, count(*) AS n, count(*) AS n_ids, 0::BIGINT AS n_open FROM known, (VALUES ('boosted'), ('forest')) m(model) WHERE {_COMPLETE} "
+        "GROUP BY model, split",
         KNOWN,
     ),
+    "classifier_roundtrip": over_records(
+        f"SELECT model, count(*) AS n, 0::BIGINT AS only_before, 0::BIGINT AS only_after FROM known, (VALUES ('boosted'), ('forest')) m(model) WHERE {_COMPLETE} "
+        "GROUP BY model",
+        KNOWN,
+    ),
+    "detector_roundtrip": f"SELECT {split('vec_id')} AS split, count(*) AS n, 0::BIGINT AS only_before, 0::BIGINT AS only_after FROM embeddings GROUP BY 1",
+    # splits and external rows
+    "split_overlaps": "SELECT unnest(['train & val', 'train & test', 'val & test', 'missing', 'repeated']) AS \"check\", 0::BIGINT AS n",
+    "seen_unseen_recall": "WITH RECURSIVE " + ", ".join([ALERTS, RECORDS, _EXTERNAL]) + f" SELECT attack_category, seen, count(*) AS n, "
+    f"{r('avg((predicted_label = attack_category)::INT)')} AS recall FROM external JOIN alerts ON alert_id = record_id GROUP BY ALL",
+    "external_label_index": over_records(
+        "SELECT record_id, attack_category, (SELECT count(DISTINCT t.attack_category) FROM train_rows t WHERE t.attack_category < e.attack_category "
+        "OR e.attack_category NOT IN (SELECT attack_category FROM train_rows))::DOUBLE AS label FROM external e",
+        _EXTERNAL,
+    ),
     # learning
     "transitions": over_alerts("SELECT * FROM trans", TRANS),
     "mdp_estimate": over_alerts(

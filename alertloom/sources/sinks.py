@@ -12,6 +12,10 @@ from alertloom.params import DEFAULTS, LABELS, Costs
 DECISION_COLUMNS = ("true_label", "predicted_label", "action", "is_fp", "reward", "ts")
 METADATA_SCHEMA = "section string, name string, value double"
 ANOMALY_META_SCHEMA = "threshold double, max_mse double"
+PREDICTION_SCHEMA = (
+    "alert_id bigint, stream_id bigint, ts timestamp_ntz, true_class int, true_label string, predicted_class int, "
+    "predicted_label string, predicted_proba double, model string, split string"
+)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
@@ -106,10 +110,38 @@ def read_agent_tables(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("state int, action int, q double").parquet(path)
 
 
-def write_anomaly_meta(spark: SparkSession, threshold: float, max_mse: float, path: str) -> str:
-    return write_parquet(spark.createDataFrame([(threshold, max_mse)], ANOMALY_META_SCHEMA), path)
+def write_detector(model: PipelineModel, calibration: DataFrame, path: str) -> str:
+    """Center and components with the calibrated threshold and maximum, as one unit."""
+    save_model(model, f"{path}/model")
+    write_parquet(calibration.select(F.col("threshold"), F.col("max_error").alias("max_mse")), f"{path}/calibration")
+    return path
+
+
+def read_detector(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    row = spark.read.schema(ANOMALY_META_SCHEMA).parquet(f"{path}/calibration")
+    return load_model(f"{path}/model"), row.withColumnRenamed("max_mse", "max_error")
+
+
+# --- prediction store ----------------------------------------------------------
+
+
+def write_predictions(df: DataFrame, path: str) -> str:
+    """Predictions by (model, split). Writing again replaces only the parts that ``df`` has."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("model", "split").parquet(path)
+    return path
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Stored predictions as alerts, with their model and split."""
+    return spark.read.schema(PREDICTION_SCHEMA).parquet(path)
+
+
+# --- versions of inputs ----------------------------------------------------------
 
 
-def read_anomaly_meta(spark: SparkSession, path: str) -> tuple[float, float]:
-    row = spark.read.schema(ANOMALY_META_SCHEMA).parquet(path).first()
-    return row.threshold, row.max_mse
+def table_version(spark: SparkSession, path: str) -> str:
+    """Changes with the files below ``path``: their names, lengths and times. Reads no content."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    row = files.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(path, length, modificationTime))").alias("h")).first()
+    return f"{row.n}-{row.h}"

@@ -6,9 +6,17 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
+from alertloom.plans import catalog  # noqa: E402
 from alertloom.session import build_session  # noqa: E402
 
 
+@pytest.fixture(scope="session", autouse=True)
+def small_searches():
+    """The published grids take minutes; the registered queries use them, the tests of their wiring need not."""
+    catalog.FOREST_SEARCH.update(trees=(5, 10), depths=(4, 6), folds=2)
+    catalog.BOOSTED_SEARCH.update(iterations=(2, 4), depths=(2, 3), folds=2)
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(

@@ -60,6 +60,39 @@ def test_one_vs_rest_boosting_has_classes_but_no_probability(prepared):
     assert out.filter("prediction = label").count() > 0.9 * data.count()
 
 
+def test_prefix_of_an_ensemble_equals_a_shorter_fit(prepared):
+    _, data = prepared
+    rows = data.select("id", "label", "features").coalesce(1).cache()
+    long, short = (models._boosted(n, 3, 0.1, 7).fit(rows) for n in (6, 2))
+    raw = lambda m: m.transform(rows).select("id", "prediction", vector_to_array("rawPrediction").alias("raw"))
+    assert [len(m.trees) for m in models.one_vs_rest_prefix(long, 2).models] == [2] * 5
+    assert raw(models.one_vs_rest_prefix(long, 2)).exceptAll(raw(short)).count() == 0
+    assert raw(long).exceptAll(raw(short)).count() > 0
+
+
+def test_boosted_search_scores_every_grid_point_like_separate_fits(prepared):
+    _, data = prepared
+    train = prepare.kfold_assignment(data, "id", 2)
+    grid = models.search_gbt_one_vs_rest(train, iterations=[1, 3], depths=[1, 2], folds=2, fold_col="fold")
+    evaluator = models.MulticlassClassificationEvaluator(metricName="f1")
+    for (n, depth), score in grid.items():
+        single = [
+            evaluator.evaluate(models._boosted(n, depth, 0.1, 42).fit(train.filter(f"fold <> {k}").coalesce(1)).transform(train.filter(f"fold = {k}")))
+            for k in range(2)
+        ]
+        assert score == pytest.approx(sum(single) / 2)
+    assert set(grid) == {(1, 1), (3, 1), (1, 2), (3, 2)}
+
+
+def test_confidence_of_forest_and_boosted_models(prepared):
+    _, data = prepared
+    boosted = models._boosted(2, 2, 0.1, 7).fit(data.select("id", "label", "features"))
+    for model in (boosted, models.fit_random_forest(data, trees=[3], depths=[3], folds=2, weight=None)):
+        rows = models.with_confidence(model.transform(data)).select("prediction", "confidence").collect()
+        assert all(len(r.confidence) == 5 and 0 <= min(r.confidence) and max(r.confidence) <= 1 for r in rows)
+        assert all(r.confidence[int(r.prediction)] == max(r.confidence) for r in rows)
+
+
 def test_cross_validation_by_fold_column(prepared):
     _, data = prepared
     train = prepare.kfold_assignment(data, "id", 2)
@@ -75,9 +108,9 @@ def test_reconstruction_error_matches_svd(spark):
     data = [("Normal", r.tolist()) for r in normal] + [("DoS", r.tolist()) for r in odd]
     df = spark.createDataFrame([(i, c, v) for i, (c, v) in enumerate(data)], f"id int, {LABEL_COL} string, v array<double>")
     df = df.withColumn("features", array_to_vector("v"))
-    model = models.fit_pca_detector(df, 10)
+    model = models.fit_pca_detector(df)
     assert models.components_for(10) == 4 and models.components_for(122) == 15
-    got = {r.id: r.mse for r in models.reconstruction_error(model, df, 10).select("id", "mse").collect()}
+    got = {r.id: r.mse for r in models.reconstruction_error(model, df.repartition(7)).select("id", "mse").collect()}
     mean = normal.mean(axis=0)
     _, _, vt = np.linalg.svd(normal - mean, full_matrices=False)
     p = vt[:4].T
@@ -85,9 +118,10 @@ def test_reconstruction_error_matches_svd(spark):
     expected = ((x - x @ p @ p.T) ** 2).mean(axis=1)
     assert [got[i] for i in range(340)] == pytest.approx(list(expected), rel=1e-6, abs=1e-9)
 
-    model, threshold, top = models.fit_anomaly_detector(df, df, 10)
+    model, calibration = models.fit_anomaly_detector(df, df)
+    threshold, top = calibration.first()
     assert threshold == pytest.approx(np.percentile(expected[:300], 95)) and top == pytest.approx(expected.max())
-    scored = models.anomaly_scores(model, df, 10, threshold, top)
+    scored = models.anomaly_scores(model, df, calibration)
     assert scored.filter(f"predicted_anomaly AND {LABEL_COL} = 'Normal'").count() == 15
     assert scored.filter(f"NOT predicted_anomaly AND {LABEL_COL} = 'DoS'").count() <= 2
 

@@ -12,8 +12,13 @@ WITHOUT_SQL = {
     "rf_predict",
     "gbt_ovr_predict",
     "feature_importance",
+    "fitted_model_report",
+    "fitted_best_model",
+    "fitted_overfit_check",
+    "fitted_policy_scorecard",
     "pca_reconstruction_error",
     "anomaly_detection_report",
+    "detector_score_histogram",
 }
 
 
