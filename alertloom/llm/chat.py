@@ -64,7 +64,7 @@ ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assist
 
 
 def field_paths(value: Any, at: str = "") -> set[str]:
-    """Nested field paths; items of lists share the path of their list."""
+    """Nested field paths; items of lists share the path of their list, and items that are no objects name their kind."""
     if isinstance(value, dict):
         paths: set[str] = set()
         for k, v in value.items():
@@ -74,7 +74,8 @@ def field_paths(value: Any, at: str = "") -> set[str]:
             paths |= field_paths(v, here)
         return paths
     if isinstance(value, list):
-        return {f"{at}[]"}.union(*(field_paths(v, f"{at}[]") for v in value))
+        kinds = {f"{at}[]:{type(v).__name__}" for v in value if not isinstance(v, (dict, list))}
+        return {f"{at}[]"}.union(kinds, *(field_paths(v, f"{at}[]") for v in value))
     return set()
 
 
@@ -112,9 +113,9 @@ def canonical_turns(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) ->
             for at, raw in enumerate(batch.column("record").to_pylist()):
                 try:
                     value = json.loads(raw or "null")
-                except ValueError:
-                    value = None
-                layout = declared.get(fingerprint(field_paths(value)))
+                    layout = declared.get(fingerprint(field_paths(value)))
+                except (ValueError, RecursionError):  # broken, or nested too deeply for any layout
+                    layout = None
                 if layout is None:
                     rows.append((at, 0, None, None, None))
                 else:

@@ -61,3 +61,20 @@ def test_query_and_edges(spark, sf_dir, tmp_path):
     con.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
     assert checker.compare(chat.op2_chat(spark, str(tmp_path)), con, catalog.ORACLES["op2_chat"]) == []
     assert chat.op2_chat(spark, str(tmp_path)).filter("conv_id = -7").first().loss_chars == len("</s>[INST] ok [/INST]")
+
+
+def test_malformed_records_are_of_unknown_layout(spark):
+    texts = [
+        '{"messages": ["x"]}',
+        '{"messages": [null]}',
+        '{"messages": [{"role": "user", "content": "q"}, "stray"]}',
+        '{"messages": [[{"role": "user", "content": "q"}]]}',
+        "[" * 100_000,
+        '{"a":' * 100_000 + "1" + "}" * 100_000,
+        "no json",
+        None,
+    ]
+    rows = [(k, 0, t) for k, t in enumerate(texts)] + [(99, 0, '{"messages": [{"role": "user", "content": "q"}]}')]
+    found = chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, record string")).collect()
+    assert {r.conv_id for r in found if r.layout is None} == set(range(len(texts)))
+    assert [(r.role, r.text) for r in found if r.layout] == [("user", "q")]
