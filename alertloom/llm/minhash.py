@@ -6,7 +6,7 @@ rounds a shingle goes to one fixed bin per round, so every bin is filled after t
 rounds at most; usually a few rounds do. Coordinates of two sketches agree with the probability
 of the sets' Jaccard similarity, with the concentration of independent minima.
 
-Equal sets are one class, known by a 128-bit digest, from the start. Classes that agree in a
+Equal sets are one class, known by a 128-bit digest, from the start, and numbered. Classes that agree in a
 band share a bucket. Not all pairs of a bucket are made: first each class is compared with the
 least class it shares a bucket with, then with the least of each of its buckets, and last, in
 buckets that still hold several components, the classes outside the largest component with all
@@ -17,7 +17,8 @@ shares a bucket is compared or connected, with no cap. Comparisons are exact on
 
 Recall: bands miss a pair of similarity 0.85 with probability (1 - 0.85 ** rows) ** bands, 4e-8
 with the defaults. Nulls: null and wordless texts have an empty set and are linked with nothing;
-a null doc_id forms no component (its component_id is null, kept is true). Repeated rows are equal sets.
+a null doc_id forms no component (its component_id is null, kept is true). Repeated rows are equal sets. Rows
+of one doc_id with different texts are documents of their own, linked by their texts alone.
 """
 
 from __future__ import annotations
@@ -102,14 +103,14 @@ def _signed(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterato
         filled = np.flatnonzero(sizes)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").take(pa.array(filled)),
+                *[batch.column(c).take(pa.array(filled)) for c in ("doc_id", "text_hash")],
                 pa.array(sizes[filled], pa.int64()),
                 *[pa.array(d[filled].view(np.int64)) for d in digest],
                 pa.FixedSizeListArray.from_arrays(pa.array(band[filled].ravel().view(np.int64)), bands).cast(
                     pa.list_(pa.int64())
                 ),
             ],
-            names=["doc_id", "n_shingles", "low", "high", "bands"],
+            names=["doc_id", "text_hash", "n_shingles", "low", "high", "bands"],
         )
 
 
@@ -130,7 +131,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
         words_of = pa.array((np.arange(len(bounds)) * PARITY_WORDS).astype(np.int32))
         odd = pa.ListArray.from_arrays(words_of, pa.array(parities(keys, bounds).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, odd], names=["id", "shingles", "odd"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), lists, odd], names=["id", "shingles", "odd"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -150,14 +151,17 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def linked_classes(classes: DataFrame, docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """Verified links ``a < b`` between classes ``id, n_shingles, bands``, enough to connect all similar ones."""
+    """Verified links between classes ``id, doc_id, text_hash, n_shingles, bands``, enough to connect all similar ones.
+
+    A class is known by its id; the text of its set is the row with its doc_id and text_hash.
+    """
     buckets = classes.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("least"))
     members = buckets.join(sizes.filter("n > 1").drop("n"), ["band", "key"])
     members = stored(members.select("band", "key", "id", "n_shingles", "least"), "buckets")
-    ids = members.select("id").distinct()
-    texts = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(texts.dropDuplicates(["doc_id"]).mapInArrow(_sets, SETS_SCHEMA), "shingle-sets")
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "text_hash")
+    texts = docs.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("id", "text")
+    sets = stored(texts.mapInArrow(_sets, SETS_SCHEMA), "shingle-sets")
 
     def fits(a: str, b: str):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -202,27 +206,44 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int = SIMILAR_P
     return stored(links.unionByName(last), "links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def _has_words():
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def assigned(docs: DataFrame, percent: int = SIMILAR_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, root, component_id`` of the rows with words; ``root`` names the component."""
+    docs = _hashed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _signed(batches, bands, rows)
 
-    schema = "doc_id long, n_shingles long, low long, high long, bands array<long>"
+    schema = "doc_id long, text_hash long, n_shingles long, low long, high long, bands array<long>"
     signed = stored(docs.mapInArrow(sign, schema), "signatures")
     same = ["low", "high", "n_shingles"]
     classes = signed.filter("doc_id IS NOT NULL").groupBy(*same).agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands")
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("bands").alias("bands")
     )
+    # numbered when written: one doc_id may have several texts, so it cannot name a class
+    classes = classes.select(F.monotonically_increasing_id().alias("id"), *same, "first.*", "bands")
     classes = stored(classes, "classes")
-    links = linked_classes(classes.select("id", "n_shingles", "bands"), docs, percent)
+    links = linked_classes(classes.drop("low", "high"), docs, percent)
     found = components(links).select(F.col("a").alias("id"), F.col("b").alias("root"))
-    named = classes.drop("bands").join(found, "id", "left").withColumn("component_id", F.coalesce("root", "id"))
-    filled = signed.drop("bands").join(named.drop("id", "root"), same, "left").drop("low", "high")
-    filled = filled.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+    named = classes.drop("bands", "text_hash").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "root").select(*same, "root", "component_id")
+    filled = signed.drop("bands").join(named, same, "left").drop("low", "high")
+    return filled.withColumns({c: F.when(F.col("doc_id").isNotNull(), F.col(c)) for c in ("root", "component_id")})
+
+
+def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``."""
+    filled = assigned(docs, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
     # rows without words never left the first pass
-    empty = docs.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    empty = docs.filter(~_has_words()).select(F.col("doc_id").cast("long").alias("doc_id"))
     empty = empty.select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return filled.unionByName(empty).select(
         "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
@@ -230,12 +251,18 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, bands: int
 
 
 def one_of_each(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """``docs`` without near copies: of each component the rows of its least doc_id, one if rows repeat."""
-    kept = near_duplicates(docs, percent).filter("kept").select("doc_id").distinct()
-    rows = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    rows = rows.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-    return rows.unionByName(docs.filter("doc_id IS NULL"))
+    """``docs`` without near copies: of each component one row, that of its least doc_id (and least text hash).
+
+    Rows without words or doc_id are linked with nothing and stay.
+    """
+    found = assigned(docs, percent).filter("root IS NOT NULL")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    linked = F.col("doc_id").isNotNull() & _has_words()
+    keyed = docs.filter(linked).withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")})
+    rows = keyed.join(first, (F.col("_id") == first["doc_id"]) & (F.col("_hash") == first["text_hash"]), "left_semi")
+    repeats = Window.partitionBy("_id", "_hash").orderBy("_hash")
+    rows = rows.withColumn("_nth", F.row_number().over(repeats)).filter("_nth = 1").drop("_id", "_hash", "_nth")
+    return rows.unionByName(docs.filter(~linked))
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -96,3 +96,20 @@ def test_components(spark):
     found = {r.a: r.b for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 1 for i in range(2, 61)}, **{k: 100 for k in range(101, 180)}, 500: 400}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """Rows are documents of their own: links go by text, and components by the least id among their rows."""
+    a, b = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " word"), (3, b + " word"), (5, b.upper()), (5, a), (5, a), (0, "other words"), (2, "")]
+    expected = brute.near_components(list(enumerate(t for _, t in rows)))
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        least[expected[n]] = min(i, least.get(expected[n], i))
+    want = sorted((i, len(brute.shingles(t)), least[expected[n]] if t else i) for n, (i, t) in enumerate(rows))
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string").repartition(3)
+    found = minhash.near_duplicates(df).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+    kept = minhash.one_of_each(df)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(0, "other words"), (1, a), (1, b), (2, "")]
+    assert kept.columns == df.columns
