@@ -74,30 +74,45 @@ def queued(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_passes: int =
 
 
 def _mixed(rows: DataFrame, max_passes: int) -> DataFrame:
-    """Copies of queued rows that the mix takes, with finish time, words and place in the mix."""
+    """Copies of queued rows that the mix takes, with finish time, words and place in the mix.
+
+    Units of service are sorted by finish time and served until the budget is used up. A copy that
+    ends by time 1 is one unit; one that is in service then is served word by word, so that the cut
+    gives it the words served by then. Each source offers a word beyond its target at least, if it
+    has one; what the order puts past the budget is cut off.
+    """
+    budget = rows.groupBy("_rank").agg(F.first("target").alias("t")).agg(F.sum(F.floor("t"))).first()[0] or 0
     passes = F.explode(F.sequence(F.lit(0), F.lit(max_passes - 1)))
     copies = rows.filter("size > 0").withColumn("mix_pass", passes)
-    begin = F.col("source_size") * F.col("mix_pass") + F.col("_start")
-    # a document in service when the budget is used up gets the words served by then
-    copies = copies.withColumn("_begin", begin).withColumn(
-        "mix_words", F.least(F.col("size"), F.floor("target") - F.col("_begin"))
-    )
-    copies = copies.filter("mix_words > 0").withColumn(
-        "mix_finish", (F.col("_begin") + F.col("mix_words")) / F.col("target")
-    )
-    slot = F.least(F.floor(F.col("mix_finish") * TIME_SLOTS), F.lit(TIME_SLOTS - 1))
-    copies = copies.withColumn("_time", slot)
-    slots = copies.groupBy("_time").agg(F.sum("mix_words").alias("_words"))
+    copies = copies.withColumn("_begin", F.col("source_size") * F.col("mix_pass") + F.col("_start"))
+    offered = F.floor("target") + 1 - F.col("_begin")
+    copies = copies.filter(offered > 0).withColumn("_whole", F.col("_begin") + F.col("size") <= F.col("target"))
+    words = F.sequence(F.lit(0).cast("long"), F.least("size", offered) - 1)
+    units = copies.withColumn("_at", F.explode(F.when(F.col("_whole"), F.array(F.lit(0).cast("long"))).otherwise(words)))
+    units = units.withColumn("_words", F.when(F.col("_whole"), F.col("size")).otherwise(1))
+    units = units.withColumn("_from", F.col("_begin") + F.col("_at"))
+    units = units.withColumn("mix_finish", (F.col("_from") + F.col("_words")) / F.col("target"))
+    served = _placed(units, "_words", "_from", "_at")
+    served = served.withColumn("mix_words", F.least(F.col("_words"), F.lit(budget) - F.col("_before"))).filter("mix_words > 0")
+    columns = [*rows.columns, "mix_pass", "_begin"]
+    whole = served.filter("_whole").select(*columns, "mix_words", "mix_finish")
+    cut = served.filter("NOT _whole").groupBy(*columns)
+    cut = cut.agg(F.sum("mix_words").alias("mix_words"), F.max("mix_finish").alias("mix_finish"))
+    # a copy that was served word by word has its place where its last word was
+    placed = _placed(whole.unionByName(cut), "mix_words", "_begin", "mix_pass")
+    return placed.withColumnRenamed("_before", "mix_start").drop("_begin")
+
+
+def _placed(units: DataFrame, words: str, *ties: str) -> DataFrame:
+    """``units`` with ``_before``, the words of all units that finish earlier. What finishes after time 1 is in a last slot."""
+    units = units.withColumn("_time", F.least(F.floor(F.col("mix_finish") * TIME_SLOTS), F.lit(TIME_SLOTS)))
+    slots = units.groupBy("_time").agg(F.sum(words).alias("_sum"))
     earlier = Window.orderBy("_time").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.select("_time", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_time").orderBy("mix_finish", "_rank", "_begin")
-    ahead = F.coalesce(F.sum("mix_words").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (
-        copies.withColumn("_ahead", ahead)
-        .join(slots, "_time")
-        .withColumn("mix_start", F.col("_base") + F.col("_ahead"))
-        .drop("_time", "_base", "_ahead", "_begin")
-    )
+    slots = slots.select("_time", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_time").orderBy("mix_finish", "_rank", *ties)
+    ahead = F.coalesce(F.sum(words).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = units.withColumn("_ahead", ahead).join(slots, "_time").withColumn("_before", F.col("_base") + F.col("_ahead"))
+    return placed.drop("_time", "_ahead", "_base")
 
 
 def mix_plan(
@@ -178,13 +193,25 @@ WITH sized AS (
 ), targets AS (
   SELECT source, place, source_size, least((3 * source_size)::DOUBLE, max(level) OVER () * weight) AS target FROM levels
 ), queue AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
+  SELECT s.doc_id, s.size, t.place, t.source_size, t.target, row_number() OVER () AS row_id,
          coalesce(sum(s.size) OVER (PARTITION BY t.place ORDER BY md5(coalesce(s.doc_id::VARCHAR, 'null')), s.doc_id, s.size
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), copies AS (
+  SELECT *, CAST(start + p * source_size AS BIGINT) AS begin, CAST(floor(target) AS BIGINT) AS goal
+  FROM queue, range(3) r(p) WHERE size > 0
+), units AS (
+  SELECT *, begin + size <= target AS whole,
+         unnest(CASE WHEN begin + size <= target THEN [0] ELSE range(0, least(size, goal + 1 - begin)) END) AS word
+  FROM copies WHERE begin < goal + 1
+), served AS (
+  SELECT row_id, CASE WHEN whole THEN size ELSE 1 END AS words,
+         sum(CASE WHEN whole THEN size ELSE 1 END) OVER (ORDER BY (begin + word + CASE WHEN whole THEN size ELSE 1 END) / target, place, begin + word
+           ROWS UNBOUNDED PRECEDING) AS upto
+  FROM units
+), taken AS (
+  SELECT row_id, sum(greatest(0, least(words, (SELECT sum(floor(target)) FROM targets) - (upto - words)))) AS taken FROM served GROUP BY row_id
 )
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - start - source_size))
-            + greatest(0, least(size, floor(target) - start - 2 * source_size)) AS BIGINT) AS taken
-FROM queue
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM queue LEFT JOIN taken USING (row_id)
 """
