@@ -14,9 +14,11 @@ kinds the lexicon is empty and all scores are 0. Texts are matched whole.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -27,9 +29,8 @@ from pyspark.sql import functions as F
 from alertloom.llm.common import label_sample, without
 from alertloom.llm.langid import held_out
 
-#: Labelled documents of each kind in the training sample, and patterns kept at most.
+#: Labelled documents of each kind in the training sample; the sample bounds the patterns as well.
 SAMPLE_PER_LABEL = 5000
-MAX_PATTERNS = 5000
 #: A pattern must occur in so many toxic documents, in such a share of them, and so many times more often than in others.
 LEAST_TOXIC, LEAST_TOXIC_SHARE, LEAST_LIFT = 5, 0.002, 12.0
 SHORTEST, LONGEST = 3, 12
@@ -118,9 +119,15 @@ def matches(folded: str, automaton: ahocorasick.Automaton | None) -> list[tuple[
     phrases = []
     for end, (length, weight) in automaton.iter(folded):
         (found if weight else phrases).append((end - length + 1, end + 1, weight))
+    # phrases by start, and the furthest end of those up to each
+    phrases.sort()
+    starts = [a for a, *_ in phrases]
+    reach = list(accumulate((b for _, b, _ in phrases), max))
     kept: dict[int, tuple[int, int, float]] = {}
     for m in found:
-        if not any(a <= m[0] + 1 and m[1] - 1 <= b for a, b, _ in phrases) and m[1] > kept.get(m[0], (0, 0))[1]:
+        before = bisect_right(starts, m[0] + 1)
+        covered = before and reach[before - 1] >= m[1] - 1
+        if not covered and m[1] > kept.get(m[0], (0, 0))[1]:
             kept[m[0]] = m
     return list(kept.values())
 
@@ -181,20 +188,22 @@ def learn(sample: DataFrame, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
     odds = (F.col("toxic") + 0.5) / every.toxic / ((F.col("clean") + 0.5) / every.clean)
     least = max(LEAST_TOXIC, LEAST_TOXIC_SHARE * every.toxic)
     rows = counted.filter((F.col("pattern") != "") & (F.col("toxic") >= least)).withColumn("odds", odds)
-    rows = rows.filter(F.col("odds") >= LEAST_LIFT).orderBy(F.desc("odds"), F.desc("toxic"), "pattern")
-    found = {r.pattern: (r.toxic, r.clean, r.odds) for r in rows.limit(MAX_PATTERNS * LONGEST).collect()}
+    rows = rows.filter(F.col("odds") >= LEAST_LIFT)
+    found = {r.pattern: (r.toxic, r.clean, r.odds) for r in rows.collect()}
+    longer: dict[str, list[str]] = defaultdict(list)
+    for q in found:
+        if not q.endswith(" "):
+            longer[q[:-1]].append(q)
     patterns: dict[str, float] = {}
     for p in sorted(found, key=len):
         toxic, clean, lift = found[p]
-        longer = [q for q in found if len(q) == len(p) + 1 and q.startswith(p) and not q.endswith(" ")]
-        if any(found[q][0] == toxic for q in longer):
+        if any(found[q][0] == toxic for q in longer[p]):
             continue
         shorter = [p[:k] for k in range(SHORTEST + 1, len(p)) if p[:k] in patterns]
         if any(found[q][1] <= max(clean, 0.02 * found[q][0]) for q in shorter):
             continue
         patterns[p] = round(float(np.log(lift)), 4)
-    top = sorted(patterns, key=lambda p: (-patterns[p], p))[:MAX_PATTERNS]
-    lexicon = Lexicon({p: patterns[p] for p in sorted(top)}, exceptions)
+    lexicon = Lexicon({p: patterns[p] for p in sorted(patterns)}, exceptions)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()

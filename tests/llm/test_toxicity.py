@@ -1,3 +1,6 @@
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from alertloom.llm import toxicity
@@ -41,3 +44,38 @@ def test_edges(docs, rows, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     empty = toxicity.lexicon_from(docs, none)
     assert not empty.patterns and {r.score for r in toxicity.with_toxicity(docs, empty).collect()} == {0.0}
+
+
+def _naive(folded, patterns, phrases):
+    """Every place of every pattern and phrase by plain search."""
+    places = lambda w: [i for i in range(len(folded)) if folded.startswith(w, i)]
+    covers = [(i, i + len(p)) for p in phrases for i in places(p)] + [(i, i + len(p) + 2) for p in phrases for i in places(f" {p} ")]
+    longest = {}
+    for p, w in patterns.items():
+        for i in places(p):
+            if not any(a <= i + 1 and i + len(p) - 1 <= b for a, b in covers) and i + len(p) > longest.get(i, (0, 0, 0))[1]:
+                longest[i] = (i, i + len(p), w)
+    return sorted(longest.values())
+
+
+def test_matches_against_plain_search():
+    draw = random.Random(4)
+    words = ["trash", "trash can", "clown", "class clown", "clown fish", "trashy", "can", "and a", "cl0wn", "fish"]
+    patterns = {" tra": 1.0, " trash": 2.0, " trash ": 3.0, " clow": 1.5, " can": 0.5, " clown f": 0.7}
+    lexicon = toxicity.Lexicon(patterns)
+    fold, automaton = toxicity.folder(), lexicon.automaton()
+    for _ in range(300):
+        folded = fold(" ".join(draw.choice(words) for _ in range(draw.randrange(0, 12))))
+        assert sorted(toxicity.matches(folded, automaton)) == _naive(folded, patterns, [" ".join(fold(p).split()) for p in lexicon.exceptions])
+
+
+def test_phrases_are_swept_in_linear_time():
+    lexicon = toxicity.Lexicon({" trash": 2.0, " clown": 1.5})
+    fold, automaton = toxicity.folder(), lexicon.automaton()
+    took = []
+    for n in (4_000, 32_000):
+        folded = fold("trash can and a clown " * n)
+        start = time.perf_counter()
+        toxicity.matches(folded, automaton)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 32 * max(took[0], 0.01)
