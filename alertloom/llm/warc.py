@@ -226,7 +226,9 @@ def normalise(captured: DataFrame, folder: str, least_bytes: int = 0) -> DataFra
                 done.append((target, normalise_file(source, target, revisits)))
             yield pd.DataFrame(done, columns=["path", "records"])
 
-    return stored(found.mapInPandas(rewrite, "path string, records long"), "normalised")
+    # a task per file: by the bytes of their names, any number of files would be merged into one
+    dealt = found.repartition(max(1, files.count()), "path")
+    return stored(dealt.mapInPandas(rewrite, "path string, records long"), "normalised")
 
 
 def read_member(stream, place: int, length: int) -> tuple[dict[str, str], bytes]:
