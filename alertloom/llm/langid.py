@@ -31,6 +31,8 @@ SAMPLE_PER_LANGUAGE = 800
 WINDOWS_PER_TEXT = 3
 EPOCHS = 8
 UNDETERMINED = "und"
+#: Least score of an accepted document: with four languages, less is close to no choice at all.
+LEAST_SCORE = 0.3
 ADDED = ("held_out", "lang_pred", "score")
 
 
@@ -219,6 +221,23 @@ def with_language(docs: DataFrame, train_on: DataFrame | None = None) -> DataFra
     return found.withColumn("held_out", held_out()).select(*[f"`{c}`" for c in rows.columns], *ADDED)
 
 
+def accepted(docs: DataFrame, languages: Sequence[str] | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Rows of ``docs`` in one of ``languages`` (all learned ones by default), told with ``least_score`` or more.
+
+    Learns from ``docs``. If no network can be fitted, as no row has a usable label, a letter in the text is enough.
+    """
+    net = train(*training_windows(docs))
+    if net is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    # other names on the way, as columns of docs may be called like results
+    names = {c: c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}
+    found = identify(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), net, list(names.values()))
+    fine = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)
+    if languages is not None:
+        fine &= F.col("lang_pred").isin(*languages)
+    return found.filter(fine).select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def op10_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     net = train(*training_windows(docs))

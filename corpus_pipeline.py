@@ -7,15 +7,14 @@ written as Parquet and read again. All but the last return the columns of docume
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from alertloom.llm import langid, minhash, mixing, packing, toxicity
 from alertloom.llm.common import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which no language can be told: no text, or no letter in it."""
-    return langid.with_language(docs).filter(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
+    """Keeps documents of the learned languages; drops those without a letter, and those the network cannot tell."""
+    return langid.accepted(docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
