@@ -38,8 +38,8 @@ COVERED = 80
 TOP = 2000
 
 #: Words counted at once, entries of a container before it bursts, entries of a task before it spills.
-BLOCK, BURST, MOST_ENTRIES = 60_000, 8_192, 1 << 20
-LANG_BITS, WORD_BITS = 16, 24
+BLOCK, BURST, MOST_ENTRIES = 200_000, 16_384, 1_500_000
+LANG_BITS, WORD_BITS = 18, 23
 FILTER_BITS = 26
 #: Copies of a one-word part, so that a hot word's lookups go to several tasks; buckets ranked before the last ranking.
 SALTS, RANK_BUCKETS = 16, 64
@@ -49,54 +49,67 @@ _PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _PIECE.copy()
 _GAP[list(b" \t")] = True
 
+#: Above all prefixes.
+NO_PREFIX = np.uint64((1 << 64) - 1)
+
 RUN_SCHEMA = "lang string, phrase string, words int, n long"
 
 
 class HatTrie:
-    """Counts of (prefix, rest) keys in containers that own ranges of prefixes."""
+    """Counts of (prefix, rest) keys in containers that own ranges of prefixes. If not ``wide``, all rests are 0."""
 
-    def __init__(self, burst: int = BURST) -> None:
-        self.burst = burst
+    def __init__(self, burst: int = BURST, wide: bool = True) -> None:
+        self.burst, self.wide = burst, wide
         self.bounds = np.zeros(1, np.uint64)
         self.containers: list[Counter] = [Counter()]
+        self.limits = [burst]
         self.entries = 0
 
     def add(self, prefix: np.ndarray, rest: np.ndarray) -> None:
         if not len(prefix):
             return
-        slot = np.searchsorted(self.bounds, prefix, "right") - 1
-        order = np.argsort(slot, kind="stable")
-        keys = np.empty((len(order), 2), ">u8")
-        keys[:, 0], keys[:, 1] = prefix[order], rest[order]
-        keys = keys.view("V16").ravel().tolist()
-        used, begins = np.unique(slot[order], return_index=True)
-        ends = [*begins[1:].tolist(), len(keys)]
-        full = []
-        for k, a, b in zip(used.tolist(), begins.tolist(), ends, strict=True):
-            container = self.containers[k]
-            before = len(container)
-            container.update(keys[a:b])
-            self.entries += len(container) - before
-            if len(container) > self.burst and len(container) > before:
-                full.append(k)
-        for k in reversed(full):
-            self._burst(k)
+        if self.wide:
+            order = np.argsort(prefix)
+            prefix = prefix[order]
+            pairs = np.empty((len(order), 2), ">u8")
+            pairs[:, 0], pairs[:, 1] = prefix, rest[order]
+            self._count(prefix, pairs.view("V16").ravel().tolist(), None)
+        else:
+            keys, n = np.unique(prefix, return_counts=True)
+            once = n == 1
+            self._count(keys[once], keys[once].tolist(), None)
+            self._count(keys[~once], keys[~once].tolist(), n[~once].tolist())
+        for k in range(len(self.containers) - 1, -1, -1):
+            if len(self.containers[k]) > self.limits[k]:
+                self._burst(k)
+
+    def _count(self, prefix: np.ndarray, keys: list, counts: list[int] | None) -> None:
+        """Adds keys, sorted by prefix, to the containers that own them."""
+        edges = [*np.searchsorted(prefix, self.bounds).tolist(), len(keys)]
+        for container, a, b in zip(self.containers, edges, edges[1:]):
+            if a < b:
+                before = len(container)
+                if counts is None:
+                    container.update(keys[a:b])
+                else:
+                    for key, n in zip(keys[a:b], counts[a:b]):
+                        container[key] = container.get(key, 0) + n
+                self.entries += len(container) - before
 
     def _burst(self, k: int) -> None:
-        """Cuts a container in two at the middle prefix, unless it holds a single one."""
+        """Cuts a container in two at the middle prefix; one with a single prefix may grow to twice its size."""
         container = self.containers[k]
         prefixes = unpacked(container)[0]
-        found = np.unique(prefixes)
-        if len(found) < 2:
-            return
         middle = np.partition(prefixes, len(prefixes) // 2)[len(prefixes) // 2]
-        cut = found[max(1, int(np.searchsorted(found, middle)))]
-        upper = Counter()
-        for key, above in zip(list(container), (prefixes >= cut).tolist(), strict=True):
-            if above:
-                dict.__setitem__(upper, key, dict.pop(container, key))
-        self.containers[k] = Counter(container)
-        self.containers.insert(k + 1, upper)
+        cut = middle if middle > prefixes.min() else prefixes[prefixes > middle].min(initial=NO_PREFIX)
+        above = prefixes >= cut
+        if cut == NO_PREFIX:
+            self.limits[k] = 2 * len(container)
+            return
+        items = np.empty(len(container), object)
+        items[:] = list(container.items())
+        self.containers[k : k + 1] = [Counter(dict(items[~above])), Counter(dict(items[above]))]
+        self.limits[k : k + 1] = [self.burst, self.burst]
         self.bounds = np.insert(self.bounds, k + 1, cut)
 
     def spill(self, left: int) -> Iterator[Counter]:
@@ -110,27 +123,58 @@ class HatTrie:
 
 
 def unpacked(container: Counter) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(next(iter(container), b""), int):
+        return np.fromiter(container, np.uint64, len(container)), np.zeros(len(container), np.uint64)
     keys = np.frombuffer(b"".join(container), ">u8").reshape(-1, 2).astype(np.uint64)
     return keys[:, 0], keys[:, 1]
 
 
 class Names:
-    """Ids from 1 for what is met, by 64-bit hash."""
+    """Ids from 1 for what is met, by 64-bit hash: an open-addressing table looked up for many at once."""
 
     def __init__(self) -> None:
-        self.ids: dict[int, int] = {}
         self.names: list[bytes] = [b""]
+        self._grow(1 << 12)
+
+    def _grow(self, size: int) -> None:
+        known = (self.keys[self.ids > 0], self.ids[self.ids > 0]) if len(self.names) > 1 else None
+        self.keys, self.ids = np.zeros(size, np.uint64), np.zeros(size, np.uint32)
+        if known is not None:
+            self._put(*known)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Slot of each hash, or the empty slot where its search ends."""
+        mask = np.uint64(len(self.keys) - 1)
+        slot = hashes & mask
+        open_ = np.arange(len(hashes))
+        while len(open_):
+            at = slot[open_]
+            open_ = open_[(self.ids[at] > 0) & (self.keys[at] != hashes[open_])]
+            slot[open_] = (slot[open_] + np.uint64(1)) & mask
+        return slot
+
+    def _put(self, hashes: np.ndarray, ids: np.ndarray) -> None:
+        """Adds distinct new hashes; of those that want one slot the first gets it, the others search on."""
+        while len(hashes):
+            slot = self._find(hashes)
+            taken, first = np.unique(slot, return_index=True)
+            self.keys[taken], self.ids[taken] = hashes[first], ids[first]
+            left = np.ones(len(hashes), bool)
+            left[first] = False
+            hashes, ids = hashes[left], ids[left]
 
     def of(self, hashes: np.ndarray, name) -> np.ndarray:
-        known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        out = np.empty(len(known), np.uint64)
-        for k, (h, at) in enumerate(zip(known.tolist(), first.tolist(), strict=True)):
-            found = self.ids.get(h)
-            if found is None:
-                found = self.ids[h] = len(self.names)
-                self.names.append(name(at))
-            out[k] = found
-        return out[inverse]
+        out = self.ids[self._find(hashes)]
+        missing = np.flatnonzero(out == 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            ids = np.arange(len(self.names), len(self.names) + len(new), dtype=np.uint32)
+            self.names += [name(k) for k in missing[first].tolist()]
+            if 2 * len(self.names) > len(self.keys):
+                self._grow(1 << (4 * len(self.names)).bit_length())
+            self._put(new, ids)
+            out[missing] = self.ids[self._find(hashes[missing])]
+        return out.astype(np.uint64)
 
 
 def gram_keys(lang: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
@@ -181,7 +225,7 @@ class Counting:
         self._clear()
 
     def _clear(self) -> None:
-        self.trie, self.langs, self.words = HatTrie(self.burst), Names(), Names()
+        self.trie, self.langs, self.words = HatTrie(self.burst, max(self.lengths) > 2), Names(), Names()
 
     def runs(self, left: int = 0) -> Iterator[pa.RecordBatch]:
         langs, words = (pa.array(n.names, pa.binary()).cast(pa.string()) for n in (self.langs, self.words))
@@ -198,12 +242,15 @@ class Counting:
             run = pa.RecordBatch.from_arrays([lang, phrase, length, n], names=["lang", "phrase", "words", "n"])
             yield run.take(pc.sort_indices(run, sort_keys=[("lang", "ascending"), ("phrase", "ascending")]))
 
-    def block(self, lang, h, joined, take, name, lang_name) -> Iterator[pa.RecordBatch]:
-        """Counts the phrases that begin at the first ``take`` words; ``joined`` tells whether a word continues a piece."""
-        if len(self.langs.names) + len(h) >= 1 << LANG_BITS or len(self.words.names) + len(h) >= 1 << WORD_BITS:
+    def block(self, row, langs, h, joined, take, name, lang_name) -> Iterator[pa.RecordBatch]:
+        """Counts the phrases that begin at the first ``take`` words; ``joined`` tells whether a word continues a piece.
+
+        ``row`` is the text of each word, from 0, and ``langs`` has the hash of each text's language.
+        """
+        if len(self.langs.names) + len(langs) >= 1 << LANG_BITS or len(self.words.names) + len(h) >= 1 << WORD_BITS:
             yield from self.runs()
             self._clear()
-        w, g = self.words.of(h, name), self.langs.of(lang, lang_name)
+        w, g, lang = self.words.of(h, name), self.langs.of(langs, lang_name)[row], langs[row]
         size = len(h)
         follows = [np.zeros(size, bool) for _ in range(LONGEST)]  # the k-th next word is of the same piece, parts known so far
         if self.known is None:
@@ -245,21 +292,23 @@ def phrase_runs(docs: DataFrame, lengths: Sequence[int], known: PhraseFilter | N
                 continue
             langs, at = text_bytes(batch.column("lang"))
             row = np.repeat(np.arange(batch.num_rows), np.diff(np.append(first[:-1], len(starts))))
-            lang = span_hash(langs, at[:-1], at[1:])[row]
-            breaks = np.cumsum(_PIECE[data])[starts]
+            lang = span_hash(langs, at[:-1], at[1:])
+            breaks = np.cumsum(_PIECE[data], dtype=np.int32)[starts]
             joined = np.zeros(len(starts), bool)
             joined[1:] = (breaks[1:] == breaks[:-1]) & (row[1:] == row[:-1])
             h = span_hash(data, starts, ends)
             for a in range(0, len(starts), block):
                 b = min(a + block, len(starts))
                 c = min(b + LONGEST - 1, len(starts))
+                top = row[a]
                 yield from counting.block(
-                    lang[a:c],
+                    row[a:c] - top,
+                    lang[top : row[c - 1] + 1],
                     h[a:c],
                     joined[a:c],
                     b - a,
                     lambda k, a=a: data[starts[a + k] : ends[a + k]].tobytes(),
-                    lambda k, a=a: langs[at[row[a + k]] : at[row[a + k] + 1]].tobytes(),
+                    lambda k, top=top: langs[at[top + k] : at[top + k + 1]].tobytes(),
                 )
         yield from counting.runs()
 

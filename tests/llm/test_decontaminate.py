@@ -65,7 +65,7 @@ def test_passages_are_cut_at_their_places(spark):
     rows = spark.createDataFrame([(i, t, "kept") for i, t in docs], "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in decontaminate.cleaned(rows, items).collect()}
     assert got[1].text == "Ähm, ! End" and [tuple(s) for s in got[1].spans] == [(5, 26)] and got[1].lang == "kept"
-    assert docs[0][1][5:25] == "the QUICK brown - fox"
+    assert docs[0][1][5:26] == "the QUICK brown - fox"
     assert got[2].text is None and got[3].text == "clean" and got[4].text == "" and got[3].spans == []
 
 
