@@ -929,15 +929,20 @@ def epsilon_schedule(spark, sf):
 # --- streaming ----------------------------------------------------------------------------------------------------------
 
 
-#: Input of a micro-batch at most; the rows of one stream in one micro-batch are held in memory.
-TRIGGER_BYTES = 64 << 20
+#: Events of a micro-batch, about, and the least number of micro-batches; one stream's rows of a micro-batch are held in memory.
+TRIGGER_ROWS, LEAST_TRIGGERS = 25_000, 4
 
 
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    """The alerts view over a streaming read of ``events``."""
-    schema = tables.read_table(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxBytesPerTrigger", TRIGGER_BYTES)
-    return tables.alerts_from_events(source.parquet(sf))
+    """The alerts view over a streaming read of ``events``, replayed file by file in time order."""
+    events = tables.read_table(spark, sf, "events")
+
+    def write(path):
+        files = max(LEAST_TRIGGERS, -(-events.count() // TRIGGER_ROWS))
+        return sinks.write_time_ordered(events, path, ["ts", "event_id"], files)
+
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return tables.alerts_from_events(source.parquet(_kept(spark, sf, "time-ordered", write)))
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
@@ -950,7 +955,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
 
 def _streamed(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = stream.run_to_parquet(df, scratch_path(spark, "stream"), scratch_path(spark, "stream-state"))
-    return spark.read.schema(stream.DECISION_SCHEMA).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _argmax_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -1024,3 +1029,19 @@ def stream_scorecard(spark, sf):
     name = scratch_path(spark, "counts").rsplit("-", 1)[1]
     table = stream.run_to_memory(counts, f"counts_{name}", scratch_path(spark, "stream-state"))
     return triage.scorecard(table)
+
+
+@query
+def stream_decision_log(spark, sf):
+    """Full decision records from a stream, each exactly once: the sink's log skips a batch that is replayed."""
+    return _streamed(spark, sinks.decision_records(stream.stream_decisions(_argmax_stream(spark, sf))))
+
+
+@query
+def stream_agent_scorecard(spark, sf):
+    """Scorecard of the learned policy, fed by its own actions, from the last state of its running counters."""
+    session = _stream_session(spark)
+    q = sinks.write_agent_tables(learned_q(spark, sf), scratch_path(spark, "agent"))
+    acted = triage.with_choices(stream_alerts(session, sf), sinks.read_agent_tables(session, q))
+    history = _streamed(spark, stream.stream_counters(acted))
+    return triage.scorecard(stream.latest_counts(history).withColumn("policy", F.lit("q_learning")))

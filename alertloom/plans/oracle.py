@@ -803,6 +803,12 @@ ORACLES: dict[str, str] = {
     "stream_triage": over_alerts(
         f"SELECT alert_id, stream_id, {r('rate')} AS fp_rate_before, action FROM steps WHERE rn > 0", *FEEDBACK
     ),
+    "stream_agent_scorecard": over_alerts(
+        _scorecard("policy", "fed"),
+        *FEEDBACK,
+        "fed AS (SELECT 'q_learning' AS policy, alerts.true_label, steps.action FROM steps "
+        "JOIN alerts ON alerts.alert_id = steps.alert_id WHERE rn > 0)",
+    ),
     "batch_triage": over_alerts(
         f"SELECT alert_id, stream_id, {r('rate')} AS fp_rate_before, action FROM steps WHERE rn > 0", *FEEDBACK
     ),
@@ -819,3 +825,5 @@ ORACLES: dict[str, str] = {
         "rated_policies AS (" + _scorecard("policy, split", "every") + ")",
     ),
 }
+
+ORACLES["stream_decision_log"] = ORACLES["decision_log"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +71,23 @@ def append_decisions(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_time_ordered(df: DataFrame, path: str, order: Sequence[str], files: int) -> str:
+    """Rows in about ``files`` files, each later in ``order`` than the one before, for a file stream to replay.
+
+    One range-partitioned job writes them; file streams go by modification time,
+    which is then set in the order of the parts.
+    """
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    first = int(time.time()) - len(parts)
+    for k, part in enumerate(parts):
+        store.setTimes(part, (first + k) * 1000, -1)
+    return path
+
+
 # --- fitted metadata ---------------------------------------------------------
 
 

@@ -8,8 +8,9 @@ false-positive bucket, so Python only walks small integers.
 
 from __future__ import annotations
 
+import json
 import sys
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -29,7 +30,10 @@ CHOICES = [f"choice_{b}" for b in range(N_FP)]
 DECISION_SCHEMA = (
     "alert_id bigint, stream_id bigint, true_label string, kept int, fp_rate_before double, fp_rate_after double, action int"
 )
+STREAM_SCHEMA = f"{DECISION_SCHEMA}, predicted_label string, ts timestamp_ntz"
+COUNTS_SCHEMA = "stream_id bigint, step bigint, true_label string, action int, n bigint"
 STATE_SCHEMA = "episode bigint, codes string"
+COUNTING_SCHEMA = f"{STATE_SCHEMA}, step bigint, counts string"
 
 # One character per kept decision.
 QUIET, ESCALATED_ATTACK, ESCALATED_NORMAL = "0", "1", "2"
@@ -101,35 +105,76 @@ def fixed_choices(df: DataFrame, action: str = "action") -> DataFrame:
 # --- streaming ---------------------------------------------------------------------------
 
 
+def _needed(df: DataFrame) -> DataFrame:
+    if "episode_id" not in df.columns:
+        df = df.withColumn("episode_id", F.lit(0).cast("bigint"))
+    if "predicted_label" not in df.columns:
+        df = df.withColumn("predicted_label", F.lit(None).cast("string"))
+    return df.select("alert_id", "stream_id", "ts", "episode_id", "true_label", "predicted_label", *CHOICES)
+
+
+def _decided(batches: Iterator[pd.DataFrame], window: int, episode: int | None, codes: str):
+    """(decisions, episode, codes) of each run of one episode; the last ones are the new state."""
+    rows = pd.concat(list(batches)).sort_values(["ts", "alert_id"], kind="stable")
+    runs = (rows["episode_id"] != rows["episode_id"].shift()).cumsum()
+    for _, run in rows.groupby(runs, sort=False):
+        current = int(run["episode_id"].iloc[0])
+        win = DecisionWindow(window, codes if current == episode else "")
+        found = _decide(run, win)
+        episode, codes = current, win.text()
+        yield found.assign(predicted_label=run["predicted_label"].to_numpy(), ts=run["ts"].to_numpy()), episode, codes
+
+
 def stream_decisions(df: DataFrame, window: int = DEFAULTS.window) -> DataFrame:
     """Decisions of a streaming input of alerts with choices, in append mode.
 
     The state of a stream is its episode and the last ``window`` decisions; a new
     ``episode_id`` starts with an empty window. Rows of a micro-batch are ordered
-    by (ts, alert_id); across micro-batches by arrival. The rows of one stream in
-    one micro-batch are held in memory, so bound the trigger of the source
-    (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
+    by (ts, alert_id); across micro-batches by arrival, so files should arrive in
+    time order (``sinks.write_time_ordered``). One stream's rows of a micro-batch
+    are held in memory: the trigger of the source bounds them, also for a hot stream.
     """
-    if "episode_id" not in df.columns:
-        df = df.withColumn("episode_id", F.lit(0).cast("bigint"))
-    needed = df.select("alert_id", "stream_id", "ts", "episode_id", "true_label", *CHOICES)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["ts", "alert_id"], kind="stable")
         episode, codes = state.get if state.exists else (None, "")
-        runs = (rows["episode_id"] != rows["episode_id"].shift()).cumsum()
-        for _, run in rows.groupby(runs, sort=False):
-            current = int(run["episode_id"].iloc[0])
-            win = DecisionWindow(window, codes if current == episode else "")
-            yield _decide(run, win)
-            episode, codes = current, win.text()
+        for found, episode, codes in _decided(batches, window, episode, codes):
+            yield found
         state.update((episode, codes))
 
-    return needed.groupBy("stream_id").applyInPandasWithState(
-        step, DECISION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    return _needed(df).groupBy("stream_id").applyInPandasWithState(
+        step, STREAM_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
+def stream_counters(df: DataFrame, window: int = DEFAULTS.window) -> DataFrame:
+    """Running counts of the fed-back decisions: after every micro-batch those of each stream it touched.
+
+    Each ``step`` of a stream gives all its (true_label, action) counts so far, so
+    its last step is its state and earlier ones are its history.
+    """
+
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        episode, codes, at, text = state.get if state.exists else (None, "", 0, "[]")
+        counts = Counter({(label, action): n for label, action, n in json.loads(text)})
+        for found, episode, codes in _decided(batches, window, episode, codes):
+            counts.update(zip(found["true_label"].tolist(), found["action"].tolist()))
+        held = sorted((label, int(action), n) for (label, action), n in counts.items())
+        state.update((episode, codes, at + 1, json.dumps(held)))
+        yield pd.DataFrame(held, columns=["true_label", "action", "n"]).assign(stream_id=key[0], step=at + 1)[
+            ["stream_id", "step", "true_label", "action", "n"]
+        ].astype({"action": "int32"})
+
+    return _needed(df).groupBy("stream_id").applyInPandasWithState(
+        step, COUNTS_SCHEMA, COUNTING_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def latest_counts(history: DataFrame) -> DataFrame:
+    """``true_label, action, n`` over all streams at their last step."""
+    last = history.groupBy("stream_id").agg(F.max("step").alias("step"))
+    return history.join(last, ["stream_id", "step"]).groupBy("true_label", "action").agg(F.sum("n").alias("n"))
+
+
 def stream_policy_counts(df: DataFrame, policies: Mapping[str, Column]) -> DataFrame:
     """Running (policy, true_label, action, n) of a stream: a few dozen rows whatever its length."""
     # a single aggregation, because chained ones cannot run in complete mode
