@@ -12,8 +12,7 @@ from alertloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session", autouse=True)
 def small_searches():
-    """The published grids take minutes; the registered queries use them, the tests of their wiring need not."""
-    catalog.FOREST_SEARCH.update(trees=(5, 10), depths=(4, 6), folds=2)
+    """The published grid of the boosted model takes minutes; the registered queries use it, the tests of their wiring need not."""
     catalog.BOOSTED_SEARCH.update(iterations=(2, 4), depths=(2, 3), folds=2)
 
 
