@@ -23,7 +23,7 @@ from alertloom.functions.expressions import (
     reward,
     triage_state,
 )
-from alertloom.operators.ordered import rolling_fp_rate
+from alertloom.operators.ordered import rolling_fp_rate, rolling_fp_rates
 from alertloom.params import DEFAULTS, ESCALATE, N_ACTIONS, N_FP, N_STATES, Costs
 
 PAIRS = N_FP * N_ACTIONS
@@ -173,12 +173,11 @@ def epoch_history(
 
     ``values`` are those after each epoch (``batch_td_epochs``). Epoch k acts on the values left by
     the k-1 epochs before it (zeros at first) in the false-positive context of its own behavior
-    decisions, and explores at the rate left by k-1 decays; the reported rate is the one after its own.
+    decisions (the rows are shuffled once for all epochs), and explores at the rate left by k-1 decays; the reported rate is the one after its own.
     """
-    passes = df.select(*{key, *keys, *order, "true_label", "predicted_class", "predicted_proba"})
-    passes = passes.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
-    passes = passes.withColumn("action", random_action(key, F.col("epoch").cast("string")))
-    rated = rolling_fp_rate(passes, ["epoch", *keys], order, **kw)
+    needed = df.select(*{key, *keys, *order, "true_label", "predicted_class", "predicted_proba"})
+    behavior = random_action(key, F.col("run").cast("string"))
+    rated = rolling_fp_rates(needed, epochs, behavior, keys, order, **kw).withColumnRenamed("run", "epoch")
     rated = rated.withColumn("state", triage_state("predicted_class", "predicted_proba", F.col("fp_rate_before")))
     # at most 60 states for each epoch
     cells = [F.coalesce(F.max(F.when(F.col("action") == a, F.col("q"))), F.lit(0.0)) for a in range(N_ACTIONS)]

@@ -103,3 +103,27 @@ def rolling_fp_rate(
     rows = with_halo(positioned(flagged, keys, order), window, chunk_rows)
     rated = _rolling_rate(rows, ["_key", "_chunk"], ["_pos"], window)
     return rated.filter(~F.col("_halo")).drop("_halo", "_chunk", "_key", "_pos", "_esc", "_fp")
+
+
+def rolling_fp_rates(
+    df: DataFrame,
+    runs: int,
+    action: Column,
+    keys: Sequence[str] = ("stream_id",),
+    order: Sequence[str] = ("ts", "alert_id"),
+    true_label: str = "true_label",
+    window: int = DEFAULTS.window,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """``rolling_fp_rate`` of several runs over the same rows: each row once per ``run`` (1, 2, ..) with its ``action`` there.
+
+    ``action`` is an expression over the columns of ``df`` and ``run``. Rows are numbered and shuffled
+    once; they are multiplied behind the shuffle, whose partitions already hold whole chunks.
+    """
+    rows = with_halo(positioned(df, keys, order), window, chunk_rows).repartition("_key", "_chunk")
+    rows = rows.withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs)))).withColumn("action", action)
+    flagged = rows.withColumn("_esc", (F.col("action") == ESCALATE).cast("long")).withColumn(
+        "_fp", is_false_positive("action", true_label).cast("long")
+    )
+    rated = _rolling_rate(flagged, ["_key", "_chunk", "run"], ["_pos"], window)
+    return rated.filter(~F.col("_halo")).drop("_halo", "_chunk", "_key", "_pos", "_esc", "_fp")

@@ -103,8 +103,6 @@ def label_correlation(df: DataFrame, columns: Sequence[str], label: str = LABEL_
             F.count(c).cast("double").alias("k"),
             F.avg(c).alias("m"),
             F.var_pop(c).alias("v"),
-            F.min(c).alias("lo"),
-            F.max(c).alias("hi"),
         ).alias(c)
         for c in columns
     ]
@@ -118,7 +116,8 @@ def label_correlation(df: DataFrame, columns: Sequence[str], label: str = LABEL_
     by_frequency = Window.partitionBy().orderBy(F.desc("rows"), label)
     indexed = stats.withColumn("y", (F.dense_rank().over(by_frequency) - 1).cast("double")).filter("k > 0")
     sums = indexed.groupBy("column").agg(
-        (F.max("hi") > F.min("lo")).alias("varies"),
+        # exact: equal numbers of a class have no variance, and equal classes one mean
+        ((F.max("v") > 0) | (F.max("m") > F.min("m"))).alias("varies"),
         (F.sum(F.col("k") * F.col("m")) / F.sum("k")).alias("mean_x"),
         (F.sum(F.col("k") * F.col("y")) / F.sum("k")).alias("mean_y"),
         F.collect_list(F.struct("k", "m", "v", "y")).alias("groups"),  # one entry per class

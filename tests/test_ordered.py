@@ -88,3 +88,22 @@ def test_one_timestamp_for_all_rows(spark):
     df = decisions(spark, [900]).withColumn("ts", F.timestamp_seconds(F.lit(5))).cache()
     got = rates(ordered.rolling_fp_rate(df, (), chunk_rows=100))
     assert got == brute_force(df.collect(), ())
+
+
+@pytest.mark.parametrize("keys", [("stream_id",), ()], ids=["per stream", "global"])
+def test_several_actions_over_one_shuffle(spark, keys):
+    df = decisions(spark, LENGTHS).cache()
+    actions = [F.col("action"), F.when(F.col("alert_id") % 3 == 0, 2).otherwise(F.col("action"))]
+    chosen = F.when(F.col("run") == 1, actions[0]).otherwise(actions[1])
+    rated = ordered.rolling_fp_rates(df, 2, chosen, keys, chunk_rows=130)
+    for i, action in enumerate(actions, 1):
+        expected = brute_force(df.withColumn("action", action).collect(), keys)
+        assert rates(rated.filter(F.col("run") == i)) == expected
+    assert ordered.rolling_fp_rates(df.limit(0), 2, chosen, keys).count() == 0
+
+
+def test_runs_are_multiplied_behind_the_shuffle(spark):
+    rated = ordered.rolling_fp_rates(decisions(spark, LENGTHS), 15, F.col("action"))
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode(", 1)
+    assert "[run#" in below.split("\n")[0] and "Exchange" not in above and below.count("Exchange") >= 3
