@@ -20,6 +20,7 @@ from alertloom.params import (
     RAW_COLUMNS,
 )
 from alertloom.plans.catalog import LINEITEM_NUMBERS, N_SLOTS, ONE_HOT_SLOTS
+from alertloom.plans.order_sql import ORDER_ORACLES
 from alertloom.sources.tables import EVENT_CLASS, record_rule
 
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
@@ -827,3 +828,4 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["stream_decision_log"] = ORACLES["decision_log"]
+ORACLES.update(ORDER_ORACLES)

@@ -144,3 +144,50 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_category(records(spark, sf_dir))
+
+
+ORDER_CLASS = "o_orderpriority"
+ORDER_CLASSES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")  # "4-NOT SPECIFIED" is no class
+ORDER_CATEGORIES = ("o_orderstatus", "c_mktsegment", "r_name")
+ORDER_NUMBERS = (
+    "o_totalprice", "c_acctbal", "n_lines", "quantity", "revenue", "discount", "tax", "n_parts", "part_size", "retail", "ship_days"
+)
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per order: its class, categories and numbers from all the tables around it.
+
+    Lines meet their part and are summed up per order before they meet the orders; an order without
+    lines keeps null in what is summed (``n_lines`` is 0), one without its customer in what that has.
+    Money and shares are summed as whole cents and percents, so that no order of the rows changes a sum.
+    """
+
+    def cents(column: str):
+        return F.round(F.col(column) * 100).cast("bigint")
+
+    lines = read_table(spark, sf_dir, "lineitem").join(
+        read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left"
+    )
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.count("*").alias("n"),
+        F.sum("l_quantity").alias("quantity"),
+        (F.sum(cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))) / 10_000.0).alias("revenue"),
+        (F.sum(cents("l_discount")) / (F.count("l_discount") * 100.0)).alias("discount"),
+        (F.sum(cents("l_tax")) / (F.count("l_tax") * 100.0)).alias("tax"),
+        F.count("p_partkey").alias("n_parts"),
+        (F.sum("p_size") / F.count("p_size")).alias("part_size"),
+        (F.sum(cents("p_retailprice")) / 100.0).alias("retail"),
+        F.max("l_shipdate").alias("shipped"),
+    )
+    place = read_table(spark, sf_dir, "nation").join(
+        read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    customers = read_table(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    orders = read_table(spark, sf_dir, "orders")
+    return (
+        orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .withColumn("n_lines", F.coalesce("n", F.lit(0)))
+        .withColumn("ship_days", F.datediff("shipped", "o_orderdate"))
+        .select("o_orderkey", "o_orderdate", ORDER_CLASS, *ORDER_CATEGORIES, *ORDER_NUMBERS)
+    )
