@@ -130,16 +130,35 @@ def read_agent_tables(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("state int, action int, q double").parquet(path)
 
 
+def write_calibration(calibration: DataFrame, path: str) -> str:
+    """One row: threshold and greatest error of the detector."""
+    return write_parquet(calibration.select("threshold", F.col("max_error").alias("max_mse")), path)
+
+
+def read_calibration(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ANOMALY_META_SCHEMA).parquet(path).withColumnRenamed("max_mse", "max_error")
+
+
+def write_anomaly_meta(spark: SparkSession, threshold: float, max_mse: float, path: str) -> str:
+    """The same from known numbers."""
+    row = spark.range(1).select(F.lit(threshold).cast("double").alias("threshold"), F.lit(max_mse).cast("double").alias("max_error"))
+    return write_calibration(row, path)
+
+
+def read_anomaly_meta(spark: SparkSession, path: str) -> tuple[float, float]:
+    row = read_calibration(spark, path).first()
+    return row.threshold, row.max_error
+
+
 def write_detector(model: PipelineModel, calibration: DataFrame, path: str) -> str:
     """Center and components with the calibrated threshold and maximum, as one unit."""
     save_model(model, f"{path}/model")
-    write_parquet(calibration.select(F.col("threshold"), F.col("max_error").alias("max_mse")), f"{path}/calibration")
+    write_calibration(calibration, f"{path}/calibration")
     return path
 
 
 def read_detector(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
-    row = spark.read.schema(ANOMALY_META_SCHEMA).parquet(f"{path}/calibration")
-    return load_model(f"{path}/model"), row.withColumnRenamed("max_mse", "max_error")
+    return load_model(f"{path}/model"), read_calibration(spark, f"{path}/calibration")
 
 
 # --- prediction store ----------------------------------------------------------
