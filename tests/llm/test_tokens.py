@@ -122,3 +122,33 @@ def test_ids_of_the_library_defaults(encoder, monkeypatch):
     long = "some words <|endoftext|> and more,<|endoftext|>\n\nof them. " * 100
     out = list(bpe.encoded_texts(iter([pa.RecordBatch.from_arrays([pa.array([long])], names=["text"])]), "x", 2))
     assert out[0][1].tolist() == [*want(long), 2]
+
+
+def test_short_pieces_fill_sequences():
+    """Tables of one short length come close to the most that fits a sequence, and mixed ones to no padding."""
+    rng = np.random.default_rng(5)
+    for lengths in (np.full(5000, 1), np.full(5000, 9), np.full(5000, 57), rng.integers(1, 65, 5000), rng.integers(1, 300, 3000)):
+        kinds = packing.classes()[lengths]
+        assert (kinds >= lengths).all() and (kinds[lengths <= 64] == lengths[lengths <= 64]).all()
+        demand = dict(zip(*(v.tolist() for v in np.unique(kinds, return_counts=True)), strict=True))
+        plan = packing.cutting_stock(demand, packing.LENGTH, packing.UNIT)
+        used = defaultdict(int)
+        for pattern, times in plan:
+            assert sum(s * c for s, c in pattern.items()) <= packing.LENGTH
+            for s, c in pattern.items():
+                used[s] += c * times
+        assert dict(used) == demand
+        sequences = sum(t for _, t in plan)
+        one = len(demand) == 1 and -(-len(lengths) // (packing.LENGTH // int(lengths[0])))
+        assert sequences <= (one or 1.02 * lengths.sum() / packing.LENGTH) + 1
+
+
+def test_a_program_cut_short_warns_and_is_whole(monkeypatch):
+    monkeypatch.setattr(packing, "MOST_COLUMNS", 1)
+    with pytest.warns(UserWarning, match="stopped after 1 columns"):
+        plan = packing.cutting_stock({3: 50, 5: 70, 7: 20, 11: 9}, 64)
+    used = defaultdict(int)
+    for pattern, times in plan:
+        for s, c in pattern.items():
+            used[s] += c * times
+    assert dict(used) == {3: 50, 5: 70, 7: 20, 11: 9}
