@@ -30,7 +30,8 @@ K = 3
 TUPLE = 2
 SLOT_BITS = 6
 SLOTS = 1 << SLOT_BITS
-#: Bits of an item that hold its place in the text; the others hold its hash.
+#: Bits of an item that hold its place in the text; the others hold its hash. Places of more than
+#: 67 million words would run into the hash: still one result for equal texts, but a coarser hash.
 PLACE_BITS = 26
 TUPLE_BITS = 32 - SLOT_BITS
 BLOCKS_PER_TASK = 8
@@ -96,7 +97,7 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     def anew(f: Column) -> Column:
         """The two least of all items by the function's other hash."""
         mixed = F.transform(ordered, lambda x: _item(F.xxhash64(_hash(x), f), x.bitwiseAND(mask)))
-        return F.slice(F.array_sort(mixed), 1, TUPLE)
+        return F.slice(F.sort_array(mixed), 1, TUPLE)
 
     def other(f: Column, own: Column) -> Column:
         """The least item by the function's other hash that is not ``own``."""
