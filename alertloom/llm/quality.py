@@ -4,11 +4,10 @@ Lines are normalised (ASCII lower case, digits as one sign, single spaces) and h
 found in more than ``LINE_SHARE`` of a host's distinct documents, and in more than
 ``LINE_FLOOR`` of them, is boilerplate there and is removed; a document of which too little is left is depleted and rejected.
 
-Texts are read twice: a pass in numpy writes statistics and line hashes (no text) to a stored
-table; its counts are summed before the shuffle's end. Then ``cleaned`` reads the texts again and
-cuts the boilerplate lines out of them. Up to ``MOST_SENT`` pairs of host and line are sent to the
-workers as hashes, so texts are not shuffled; more of them are joined to lines, and the numbers
-of the lines hit are joined to the texts. Both ways cut the same lines.
+A pass in numpy writes the texts with their statistics and line hashes to a stored table; later
+steps read only the columns they need. Lines per host are counted without texts and summed before
+the shuffle's end. Then ``cleaned`` joins the numbers of the lines hit to the stored rows by row
+number (Spark broadcasts them if they are few) and cuts those lines out; statistics are not made again.
 
 Nulls: a null text has no words, so it fails the base rules; a null host is a host of its own;
 a null doc_id is an id like others. Repeated rows with one doc_id count as one document in
@@ -36,8 +35,6 @@ LEAST_WORDS_LEFT = 10
 LEAST_SHARE_LEFT = 0.3
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-#: Frequent (host, line) pairs held by each worker, 8 bytes each.
-MOST_SENT = 1_000_000
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 ADDED = (*STATISTICS, "removed_words", "base_failed", "kept")
@@ -122,23 +119,25 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in text_chunks(batches):
-        s = statistics(data, offsets)
-        at = pa.array(s["lines"].astype(np.int32))
-        lists = [pa.ListArray.from_arrays(at, pa.array(s[k], pa.int64())) for k in ("line_hash", "line_words")]
-        columns = [batch.column(c) for c in ("doc_id", "host", "digest")]
-        columns += [*[pa.array(s[k], pa.int64()) for k in STATISTICS], *lists]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "host", "digest", *STATISTICS, "line_hash", "line_words"])
+def _measure(keep: list[str]):
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in text_chunks(batches):
+            s = statistics(data, offsets)
+            at = pa.array(s["lines"].astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(s[k], pa.int64())) for k in ("line_hash", "line_words")]
+            columns = [batch.column(c) for c in keep] + [pa.array(s[k], pa.int64()) for k in STATISTICS] + lists
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *STATISTICS, "_line_hash", "_line_words"])
+
+    return measure
 
 
 def measured(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Stored ``doc_id, host, digest, STATISTICS, line_hash, line_words, row``; no texts."""
-    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), F.unhex(F.md5("text")).alias("digest"), "text")
+    """Stored columns of ``docs`` with STATISTICS, ``_host, _line_hash, _line_words, _row``."""
+    rows = without(docs.withColumn("_host", F.col(host).cast("string")), ADDED)
     statistic = ", ".join(f"{c} long" for c in STATISTICS)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, host string, digest binary, {statistic}, "
-    done = rows.mapInArrow(_measure, f"{schema}line_hash array<long>, line_words array<long>")
-    return stored(done.withColumn("row", F.monotonically_increasing_id()), "quality-lines")
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
+    done = rows.mapInArrow(_measure(rows.columns), f"{schema}, {statistic}, _line_hash array<long>, _line_words array<long>")
+    return stored(done.withColumn("_row", F.monotonically_increasing_id()), "quality-lines")
 
 
 def frequent_lines(
@@ -149,35 +148,18 @@ def frequent_lines(
     The limit is ``line_share`` of the host's distinct documents, ``line_floor`` at least, or the
     fixed ``line_limit`` if one is given. Most lines fall to the floor before host counts are joined.
     """
-    lines = rows.select("doc_id", "host", F.explode(F.array_distinct("line_hash")).alias("line"))
+    lines = rows.select("doc_id", F.col("_host").alias("host"), F.explode(F.array_distinct("_line_hash")).alias("line"))
     once = lines.groupBy("host", "line", "doc_id").agg(F.lit(1).alias("one"))
     counted = once.groupBy("host", "line").agg(F.count("one").alias("documents"))
     if line_limit is not None:
         return counted.filter(F.col("documents") > line_limit).select("host", "line")
-    each = rows.groupBy("host", "doc_id").agg(F.lit(1).alias("one"))
-    sizes = each.groupBy(F.col("host").alias("_host")).agg(F.count("one").alias("_size"))
+    each = rows.groupBy("_host", "doc_id").agg(F.lit(1).alias("one"))
+    sizes = each.groupBy("_host").agg(F.count("one").alias("_size"))
     near = counted.filter(F.col("documents") > line_floor)
     sized = near.join(sizes.filter(F.col("_size") > line_floor), near["host"].eqNullSafe(F.col("_host")))
     return sized.filter(F.col("documents") > line_share * F.col("_size")).select("host", "line")
 
 
-def judged(
-    rows: DataFrame,
-    line_limit: int | None = None,
-    least_words: int = LEAST_WORDS_LEFT,
-    least_share: float = LEAST_SHARE_LEFT,
-) -> DataFrame:
-    """One row per measured row: statistics, ``removed_words``, ``base_failed``, ``kept``."""
-    line = F.explode(F.arrays_zip("line_hash", "line_words")).alias("line")
-    lines = rows.select("row", "host", line).select("row", "host", "line.line_hash", "line.line_words")
-    frequent = frequent_lines(rows, line_limit).withColumnRenamed("host", "_host")
-    hit = lines.join(frequent, lines["host"].eqNullSafe(frequent["_host"]) & (lines["line_hash"] == frequent["line"]))
-    removed = hit.groupBy("row").agg(F.sum("line_words").alias("removed_words"))
-    found = rows.drop("line_hash", "line_words", "digest").join(removed, "row", "left").drop("row")
-    found = found.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
-    return _verdict(found, least_words, least_share)
-
-
 def _verdict(found: DataFrame, least_words: int, least_share: float) -> DataFrame:
     """Adds ``base_failed`` and ``kept`` to statistics and ``removed_words``."""
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -197,39 +179,27 @@ def without_lines(text: bytes, numbers: set[int]) -> bytes:
     return b"\n".join(out)
 
 
-def _pair_key(host: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return mix64(host.view(np.uint64) ^ mix64(line.view(np.uint64)))
-
-
-def _cutter(keep: list[str], sent: np.ndarray | None):
-    """Cuts lines whose pair is in ``sent`` (sorted), or else those numbered in the column ``_hits``."""
+def _cutter(keep: list[str]):
+    """Cuts the lines numbered in the column ``_hits``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_chunks(batches):
-            s = statistics(data, offsets)
-            at = s["lines"]
-            hit = np.zeros(len(s["line_hash"]), bool)
-            if sent is None:
-                hits = batch.column("_hits").fill_null([])
-                count = hits.value_lengths().to_numpy(zero_copy_only=False)
-                hit[np.repeat(at[:-1], count) + hits.flatten().to_numpy()] = True
-            elif len(sent):
-                hosts = batch.column("_host").to_numpy(zero_copy_only=False)
-                keys = _pair_key(np.repeat(hosts, np.diff(at)), s["line_hash"])
-                hit = sent[np.minimum(np.searchsorted(sent, keys), len(sent) - 1)] == keys
-            removed = np.diff(np.append(0, np.cumsum(s["line_words"] * hit))[at])
+        for batch in batches:
+            hits, line_words = batch.column("_hits").fill_null([]), batch.column("_line_words")
+            at, to = (np.append(0, np.cumsum(v.value_lengths().to_numpy(zero_copy_only=False))) for v in (line_words, hits))
+            numbers, size = hits.flatten().to_numpy(), line_words.flatten().to_numpy()
+            hit = np.zeros(len(size), bool)
+            hit[np.repeat(at[:-1], np.diff(to)) + numbers] = True
+            removed = np.diff(np.append(0, np.cumsum(size * hit))[at])
             text = batch.column("text")
             # in runs, so that rows without a hit are not touched
-            found, parts, done = np.flatnonzero(np.diff(np.append(0, np.cumsum(hit))[at])), [], 0
-            for i in found.tolist():
-                numbers = set(np.flatnonzero(hit[at[i] : at[i + 1]]).tolist())
-                rest = without_lines(data[offsets[i] : offsets[i + 1]].tobytes(), numbers)
+            parts, done = [], 0
+            for i in np.flatnonzero(np.diff(to)).tolist():
+                rest = without_lines(text[i].as_py().encode(), set(numbers[to[i] : to[i + 1]].tolist()))
                 parts += [text.slice(done, i - done), pa.array([rest], pa.binary()).cast(text.type)]
                 done = i + 1
             texts = pa.concat_arrays([*parts, text.slice(done)])
             columns = [texts if c == "text" else batch.column(c) for c in keep]
-            columns += [pa.array(s[k], pa.int64()) for k in STATISTICS] + [pa.array(removed.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *STATISTICS, "removed_words"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed.astype(np.int64))], names=[*keep, "removed_words"])
 
     return cut
 
@@ -240,41 +210,20 @@ def cleaned(
     line_limit: int | None = None,
     least_words: int = LEAST_WORDS_LEFT,
     least_share: float = LEAST_SHARE_LEFT,
-    most_sent: int = MOST_SENT,
 ) -> DataFrame:
     """``docs`` with the frequent lines cut out of ``text``, and ``ADDED``; statistics are of the text as given."""
     rows = measured(docs, host)
     frequent = stored(frequent_lines(rows, line_limit), "frequent-lines")
-    given = docs.withColumn("_host", F.col(host).cast("string"))
-    rest = without(docs, ADDED)
-    keep = rest.columns
-    if frequent.count() <= most_sent:
-        pairs = frequent.select(F.xxhash64("host").alias("host"), "line").toArrow()
-        sent = np.unique(_pair_key(*(pairs.column(c).to_numpy() for c in ("host", "line"))))
-        given = given.withColumn("_host", F.xxhash64("_host"))
-    else:
-        sent = None
-        given = _with_hits(given, rows, frequent)
-    given = given.select(*[f"`{c}`" for c in keep], "_host", *(["_hits"] if sent is None else []))
-    schema = ", ".join(f"`{c}` {rest.schema[c].dataType.simpleString()}" for c in keep)
-    statistic = ", ".join(f"{c} long" for c in STATISTICS)
-    done = given.mapInArrow(_cutter(keep, sent), f"{schema}, {statistic}, removed_words long")
-    return _verdict(done, least_words, least_share)
-
-
-def _with_hits(given: DataFrame, rows: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Adds ``_hits``, the numbers of frequent lines; equal rows of one id, host and text have equal hits."""
-    key = ["doc_id", "host", "digest"]
-    lines = rows.select("row", "host", F.posexplode("line_hash").alias("number", "line"))
-    same = lines["host"].eqNullSafe(frequent["host"]) & (lines["line"] == frequent["line"])
-    hit = lines.join(frequent, same, "left_semi").groupBy("row").agg(F.collect_list("number").alias("_hits"))
-    hits = rows.select("row", *key).join(hit, "row").dropDuplicates(key)
-    hits = hits.select(*[F.col(c).alias(f"_hit_{c}") for c in key], "_hits")
-    given = given.withColumn("_digest", F.unhex(F.md5("text")))
-    on = [given[c].eqNullSafe(hits[f"_hit_{k}"]) for c, k in (("doc_id", "doc_id"), ("_host", "host"), ("_digest", "digest"))]
-    return given.join(hits, on[0] & on[1] & on[2], "left")
+    lines = rows.select("_row", "_host", F.posexplode("_line_hash").alias("number", "line"))
+    same = lines["_host"].eqNullSafe(frequent["host"]) & (lines["line"] == frequent["line"])
+    hit = lines.join(frequent, same, "left_semi").groupBy("_row").agg(F.collect_list("number").alias("_hits"))
+    given = rows.join(stored(hit, "line-hits"), "_row", "left")
+    keep = [*without(docs, ADDED).columns, *STATISTICS]
+    given = given.select(*[f"`{c}`" for c in keep], "_line_words", "_hits")
+    schema = ", ".join(f"`{c}` {given.schema[c].dataType.simpleString()}" for c in keep)
+    return _verdict(given.mapInArrow(_cutter(keep), f"{schema}, removed_words long"), least_words, least_share)
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return cleaned(docs).select("doc_id", *STATISTICS, "base_failed", "kept", "removed_words", "text")

@@ -4,7 +4,7 @@ from alertloom.llm import quality
 
 
 def test_statistics(docs, rows):
-    found = quality.judged(quality.measured(docs)).collect()
+    found = quality.cleaned(docs).collect()
     assert len(found) == len(rows)
     texts = {i: t for i, t, *_ in rows}
     for r in found:
@@ -21,7 +21,7 @@ def test_boilerplate_of_a_host(spark):
     rows += [(200 + i, "accept cookies 7\nand nothing else is in here but this other common line", "b") for i in range(3)]
     rows += [(300 + i, "accept cookies 7\nand nothing else is in here but this other common line", None) for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {r.doc_id: r for r in quality.judged(quality.measured(df), line_limit=20).collect()}
+    found = {r.doc_id: r for r in quality.cleaned(df, line_limit=20).collect()}
     assert all(found[i].kept and found[i].removed_words == 3 for i in range(30))
     assert not any(found[100 + i].kept or found[300 + i].kept for i in range(30))
     assert all(found[200 + i].kept and found[200 + i].removed_words == 0 for i in range(3))
@@ -31,7 +31,7 @@ def test_repeated_rows_count_once_and_empty(spark):
     df = spark.createDataFrame([(1, "ten words " * 5 + "x y z", "a")] * 50, "doc_id long, text string, source string")
     rows = quality.measured(df)
     assert quality.frequent_lines(rows, 1).count() == 0
-    assert quality.judged(quality.measured(df.limit(0))).count() == 0
+    assert quality.cleaned(df.limit(0)).count() == 0
 
 
 def test_registered_limits_remove_lines(spark, tmp_path):
@@ -50,7 +50,7 @@ def test_registered_limits_remove_lines(spark, tmp_path):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     measured = quality.measured(df)
     assert {r.host for r in quality.frequent_lines(measured).collect()} == {"large", "small", None}
-    cut = {r.doc_id for r in quality.judged(measured).collect() if r.removed_words}
+    cut = {r.doc_id for r in quality.cleaned(df).collect() if r.removed_words}
     assert cut == {*range(0, 300, 5), *range(1000, 1008), *range(4000, 4006)}
     df.write.parquet(f"{tmp_path}/documents.parquet")
     kept = {r.doc_id: r.kept for r in quality.op7_quality(spark, str(tmp_path)).collect()}
@@ -67,15 +67,14 @@ def test_frequent_lines_are_cut_out_of_texts(spark, docs):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string, kept int").repartition(4)
     want = {i: "\n".join([own, "", "end {}"]).replace("{}", "q" * (i + 1)) for i in range(20)}
     want |= {100: rows[20][1], 200: None, 201: ""} | {300 + i: "" for i in range(8)}
-    for most in (quality.MOST_SENT, 0):  # sent to workers, or joined
-        found = quality.cleaned(df, most_sent=most).collect()
-        assert len(found) == len(rows)
-        given = {i: t for i, t, *_ in rows}
-        for r in found:
-            assert r.text == want[r.doc_id] and r.extra == "x"
-            assert r.removed_words == len(brute.words(given[r.doc_id])) - len(brute.words(r.text))
-            assert r.n_words == len(brute.words(given[r.doc_id]))
-            assert r.kept == (r.doc_id <= 100)
-        hard = {r.doc_id: r.text for r in quality.cleaned(docs, most_sent=most).collect()}
-        assert hard == {r.doc_id: r.text for r in docs.collect()}
+    found = quality.cleaned(df).collect()
+    assert len(found) == len(rows)
+    given = {i: t for i, t, *_ in rows}
+    for r in found:
+        assert r.text == want[r.doc_id] and r.extra == "x"
+        assert r.removed_words == len(brute.words(given[r.doc_id])) - len(brute.words(r.text))
+        assert r.n_words == len(brute.words(given[r.doc_id]))
+        assert r.kept == (r.doc_id <= 100)
+    hard = {r.doc_id: r.text for r in quality.cleaned(docs).collect()}
+    assert hard == {r.doc_id: r.text for r in docs.collect()}
     assert quality.cleaned(df.limit(0)).count() == 0
