@@ -136,3 +136,11 @@ def test_predictions_from_vectors_and_arrays(spark):
     vectors = df.withColumn("probability", array_to_vector("probability"))
     assert [tuple(r) for r in triage.extract_predictions(vectors).collect()] == expected
     assert vectors.select(vector_to_array("probability")).count() == 2
+
+
+@pytest.mark.parametrize(
+    "rows, fits, cores, parts",
+    [(0, 30, 12, 1), (65_712, 30, 12, 1), (65_712, 5, 12, 3), (30_000, 5, 64, 2), (394_280, 30, 12, 2), (394_280, 5, 12, 3), (4_000_000, 30, 12, 20)],
+)
+def test_boosted_fits_share_the_cores_instead_of_dealing_out_small_tasks(rows, fits, cores, parts):
+    assert models.task_count(rows, fits, cores) == parts
