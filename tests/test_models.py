@@ -44,6 +44,47 @@ def test_forest_predicts_and_repeats(prepared):
     assert out.exceptAll(again).count() == 0
 
 
+def _counts(scored):
+    rows = scored.groupBy("label", "prediction").count().collect()
+    return {(int(r[0]), int(r[1]), r[2]) for r in rows}
+
+
+@pytest.mark.parametrize("features", ["features", "features_raw"])  # the raw ones have splits on categories
+def test_forest_cut_at_a_depth_scores_like_one_grown_to_it(rows, prepared, features):
+    pipeline, _ = prepared
+    # few classes per leaf, so that leaves merge
+    data = pipeline.transform(rows).select("id", F.col(features).alias("features"), F.least("label", F.lit(2.0)).alias("label")).coalesce(1).cache()
+    deep, low = (models._forest(6, depth, 7, None).fit(data) for depth in (6, 3))
+    found = models.smaller_forest_counts(deep, data, [2, 6], [3, 6]).collect()
+    got = {key: {(r.label, r.prediction, r.n) for r in found if (r.trees, r.depth) == key} for key in [(2, 3), (2, 6), (6, 3), (6, 6)]}
+    assert got[6, 6] == _counts(deep.transform(data)) and got[6, 3] == _counts(low.transform(data))
+    assert got[2, 6] == got_by_two(deep, data) and got[2, 3] == got_by_two(low, data)
+
+
+def got_by_two(model, data):
+    """Confusion counts of the model's first two trees alone, by their own probabilities."""
+    for t in range(2):
+        data = model.trees[t].setProbabilityCol(f"p{t}").setPredictionCol(f"c{t}").setRawPredictionCol(f"r{t}").transform(data)
+    votes = F.zip_with(vector_to_array("p0"), vector_to_array("p1"), lambda a, b: a + b)
+    return _counts(data.withColumn("prediction", F.array_position(votes, F.array_max(votes)) - 1))
+
+
+def test_forest_search_grows_one_forest_a_fold_and_scores_the_grid_like_separate_fits(prepared, monkeypatch):
+    _, data = prepared
+    train = prepare.kfold_assignment(data, "id", 2)
+    fits = []
+    made = models._forest
+    monkeypatch.setattr(models, "_forest", lambda *a: fits.append(a) or made(*a))
+    grid = models.search_random_forest(train, trees=[4], depths=[2, 5], folds=2, weight=None, fold_col="fold")
+    assert len(fits) == 2
+    evaluator = models.MulticlassClassificationEvaluator(metricName="f1")
+    part = models._few_tasks(train, 2).cache()
+    for (n, depth), score in grid.items():
+        single = [evaluator.evaluate(made(n, depth, 42, None).fit(part.filter(f"fold <> {k}")).transform(part.filter(f"fold = {k}"))) for k in range(2)]
+        assert score == pytest.approx(sum(single) / 2)
+    assert list(grid) == [(4, 2), (4, 5)]
+
+
 def test_importance_is_summed_by_source_column(rows, prepared):
     pipeline, data = prepared
     best = models.fit_random_forest(data, trees=[5], depths=[4], folds=2, weight=None)
