@@ -185,3 +185,8 @@ def test_predictions_from_vectors_and_arrays(spark):
 )
 def test_boosted_fits_share_the_cores_instead_of_dealing_out_small_tasks(rows, fits, cores, parts):
     assert models.task_count(rows, fits, cores) == parts
+
+
+@pytest.mark.parametrize("rows, fits, cores, parts", [(394_797, 2, 12, 6), (394_797, 1, 12, 12), (3_950_000, 2, 12, 10), (24_000_000, 2, 12, 60)])
+def test_forest_fits_have_larger_tasks_as_each_sends_counts_for_every_node(rows, fits, cores, parts):
+    assert models.task_count(rows, fits, cores, models.FOREST_TASK_ROWS) == parts
