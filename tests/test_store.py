@@ -114,3 +114,11 @@ def test_seen_values(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "z"), (3, None), (4, "a")], "id int, t string")
     got = sorted((r.id, r.seen) for r in prepare.mark_seen(rows, train, "t").collect())
     assert got == [(1, True), (2, False), (3, False), (4, True)]
+
+
+def test_sides_of_a_roundtrip_are_counted_with_repeats(spark):
+    schema = "id int, raw array<double>"
+    before = spark.createDataFrame([(1, [0.5]), (1, [0.5]), (2, [0.1, 0.2]), (None, None)], schema)
+    after = spark.createDataFrame([(1, [0.5]), (2, [0.1, 0.3]), (None, None), (3, None)], schema)
+    assert tuple(catalog.sides_apart(before, after).first()) == (4, before.exceptAll(after).count(), after.exceptAll(before).count()) == (4, 2, 2)
+    assert tuple(catalog.sides_apart(before.limit(0), after.limit(0)).first()) == (0, 0, 0)
